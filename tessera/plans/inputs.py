@@ -72,12 +72,12 @@ def regression_rows(spark, sf_dir) -> DataFrame:
     return li.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
         (F.col("l_quantity") / 50.0).alias("x0"),
-        (F.col("l_extendedprice") / 100000.0).alias("x1"),
+        (F.col("l_extendedprice") / 10000.0).alias("x1"),
         (F.col("l_discount") * 10.0).alias("x2"),
         (F.col("l_tax") * 10.0).alias("x3"),
         F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("label"))
 
 
 REGRESSION_SQL = ("select l_orderkey * 8 + l_linenumber as id, l_quantity / 50.0 as x0, "
-                  "l_extendedprice / 100000.0 as x1, l_discount * 10.0 as x2, l_tax * 10.0 as x3, "
+                  "l_extendedprice / 10000.0 as x1, l_discount * 10.0 as x2, l_tax * 10.0 as x3, "
                   "case when l_returnflag = 'R' then 1.0 else 0.0 end as label from lineitem")
