@@ -252,8 +252,8 @@ def _blocked_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed,
         qa = _route_queries(q, pv, counts, radius, k, opts["exclude_self"], opts["max_distance"], tau)
         ca = ca.drop("_pd")
     else:
-        ca = c.withColumn("_pid", F.lit(0))
-        qa = q.withColumn("_pid", F.lit(0))
+        ca = c.withColumn("_pid", F.lit(0).cast("int"))
+        qa = q.withColumn("_pid", F.lit(0).cast("int"))
     # Partition sizes: one small row per partition reaches the driver.
     ccount = ca.groupBy("_pid").agg(F.count(F.lit(1)).alias("nc"))
     qcount = qa.groupBy("_pid").agg(F.count(F.lit(1)).alias("nq"))
@@ -265,7 +265,7 @@ def _blocked_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed,
     else:
         sizes["tchunks"] = np.maximum(1, np.ceil(sizes["nc"] / block_rows)).astype(int)
     sizes["qchunks"] = np.maximum(1, np.ceil(sizes["nq"] / block_rows)).astype(int)
-    plan = spark.createDataFrame(sizes[["_pid", "tchunks", "qchunks"]].astype({"_pid": "int32"}))
+    plan = spark.createDataFrame(sizes[["_pid", "tchunks", "qchunks"]].astype("int32"))
     plan = F.broadcast(plan)  # one row per partition: bounded by the pivot count
     if chunk_by_id is not None:
         tchunk = F.pmod(F.col("_tid"), F.col("tchunks")).cast("int")
