@@ -81,3 +81,29 @@ def regression_rows(spark, sf_dir) -> DataFrame:
 REGRESSION_SQL = ("select l_orderkey * 8 + l_linenumber as id, l_quantity / 50.0 as x0, "
                   "l_extendedprice / 10000.0 as x1, l_discount * 10.0 as x2, l_tax * 10.0 as x3, "
                   "case when l_returnflag = 'R' then 1.0 else 0.0 end as label from lineitem")
+
+
+# --- kNN graph (G*): each vector to its k nearest others, made canonical ------
+def knn_graph(spark, sf_dir, k: int = 5) -> DataFrame:
+    from ..operators.knn import KNNParams, knn_pairs
+    v = vectors(spark, sf_dir)
+    pairs = knn_pairs(v, v, KNNParams(k=k, exclude_self=True))
+    g = pairs.groupBy(F.least("id", "neighbor_id").alias("src"), F.greatest("id", "neighbor_id").alias("dst")) \
+             .agg(F.min("distance").alias("distance"))
+    return g.withColumn("weight", F.round(F.col("distance") * 1000).cast("bigint"))
+
+
+def knn_graph_sql(k: int = 5) -> str:
+    return f"""select least(id, nid) as src, greatest(id, nid) as dst, min(dist) as distance,
+       cast(round(min(dist) * 1000) as bigint) as weight from (
+  select id, nid, dist, row_number() over (partition by id order by round(dist, 9), nid) as rk from (
+    select a.vec_id as id, b.vec_id as nid,
+           list_distance(a.embedding::double[], b.embedding::double[]) as dist
+    from embeddings a join embeddings b on a.vec_id <> b.vec_id)) where rk <= {k} group by 1, 2"""
+
+
+def graph_vertices(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"))
+
+
+VERTICES_SQL = "select vec_id as id from embeddings"
