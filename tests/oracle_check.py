@@ -26,11 +26,11 @@ def duck(sf_dir: str):
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
-            return "nan"
+            return None
         return round(v, 6)
     if hasattr(v, "tolist"):
         v = v.tolist()
