@@ -299,3 +299,41 @@ def _blocked_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed,
 
     keys = ["_pid", "_qc", "_tc"]
     return qk.groupBy(*keys).cogroup(ck.groupBy(*keys)).applyInPandas(group, schema)
+
+
+def chunked_cogroup(left: DataFrame, right: DataFrame, key: str, fn, schema,
+                    lid: str, rid: str, block_rows: int = 2048, seed: int = 11) -> DataFrame:
+    """Cogroup two keyed tables with every key cut into bounded chunks.
+
+    Rows of a key are split into ``ceil(n / block_rows)`` chunks per side by
+    id hash; each left chunk meets each right chunk of the same key once, so
+    no group holds more than ``block_rows`` rows per side whatever the key
+    skew.  The per-key chunk plan stays a DataFrame (the key count grows
+    with the data and is never collected).  ``fn(left_pdf, right_pdf)``
+    returns a pandas frame with ``schema``.
+    """
+    lc = left.groupBy(key).agg(F.count(F.lit(1)).alias("_nl"))
+    rc = right.groupBy(key).agg(F.count(F.lit(1)).alias("_nr"))
+    plan = lc.join(rc, key).select(
+        key, F.ceil(F.col("_nl") / block_rows).cast("int").alias("_lch"),
+        F.ceil(F.col("_nr") / block_rows).cast("int").alias("_rch"))
+    L = (left.join(plan, key)
+         .withColumn("_lc", F.pmod(F.xxhash64(lid, F.lit(seed)), F.col("_lch")).cast("int"))
+         .withColumn("_rc", F.explode(F.sequence(F.lit(0), F.col("_rch") - 1)))
+         .drop("_lch", "_rch"))
+    R = (right.join(plan, key)
+         .withColumn("_rc", F.pmod(F.xxhash64(rid, F.lit(seed + 1)), F.col("_rch")).cast("int"))
+         .withColumn("_lc", F.explode(F.sequence(F.lit(0), F.col("_lch") - 1)))
+         .drop("_lch", "_rch"))
+    names = [f.name for f in schema.fields]
+
+    def run(lpdf, rpdf):
+        if len(lpdf) == 0 or len(rpdf) == 0:
+            return pd.DataFrame({n: [] for n in names})
+        return fn(lpdf, rpdf)
+
+    keys = [key, "_lc", "_rc"]
+    # fresh attribute ids: both sides often derive from one table (self joins)
+    L = L.select(*[F.col(c).alias(c) for c in L.columns])
+    R = R.select(*[F.col(c).alias(c) for c in R.columns])
+    return L.groupBy(*keys).cogroup(R.groupBy(*keys)).applyInPandas(run, schema)

@@ -1 +1,79 @@
-"""Placeholder until its analyses land."""
+"""Density clustering analyses (D1-D4, J7, J8) on the 2-D points of all embeddings."""
+
+from pyspark.sql import functions as F
+
+from ..operators import dbscan as D
+from . import inputs as I
+from .catalog import register
+
+EPS = 0.03
+MIN_PTS = 5
+
+_DB_SQL = f"""
+with recursive p as ({I.POINTS_SQL}),
+nb as (select * from (select a.id as a, b.id as b,
+                             sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) as d
+                      from p a join p b on abs(a.x - b.x) <= {EPS} and abs(a.y - b.y) <= {EPS}) where d <= {EPS}),
+cnt as (select a as id, count(*) as n from nb group by a),
+core as (select id from cnt where n >= {MIN_PTS}),
+ce as (select nb.a, nb.b from nb join core c1 on c1.id = nb.a join core c2 on c2.id = nb.b where nb.a <> nb.b),
+cc(v, c) as (select id, id from core union select ce.b, cc.c from cc join ce on ce.a = cc.v),
+cl as (select v as id, min(c) as cluster from cc group by v),
+bd as (select nb.a as id, cl.cluster, nb.d from nb join cl on cl.id = nb.b where nb.a not in (select id from core)),
+bb as (select id, cluster from (select *, row_number() over (partition by id order by round(d, 9), cluster) as r
+                                from bd) where r = 1),
+res as (select p.id, p.x, p.y,
+               case when cl.id is not null then 'core' when bb.id is not null then 'border' else 'noise' end as flag,
+               coalesce(cl.cluster, bb.cluster) as cluster
+        from p left join cl using (id) left join bb using (id))
+"""
+
+
+@register("d1_dbscan", _DB_SQL + "select * from res")
+def d1_dbscan(spark, sf_dir):
+    return D.dbscan(I.points(spark, sf_dir), EPS, MIN_PTS)
+
+
+@register("d1_dbscan_small_blocks", _DB_SQL + "select * from res")
+def d1_dbscan_small_blocks(spark, sf_dir):
+    """Same answer with tiny chunks: exercises the split of crowded cells."""
+    return D.dbscan(I.points(spark, sf_dir), EPS, MIN_PTS, block_rows=16)
+
+
+@register("d2_dbscan_flags", _DB_SQL + "select id, flag from res")
+def d2_dbscan_flags(spark, sf_dir):
+    return D.dbscan_flags(I.points(spark, sf_dir), EPS, MIN_PTS)
+
+
+@register("d3_cell_cluster_merge", _DB_SQL + f"""
+select distinct cast(floor(x / ({EPS} / sqrt(2.0) * (1.0 - 1e-12))) as bigint) as cx,
+       cast(floor(y / ({EPS} / sqrt(2.0) * (1.0 - 1e-12))) as bigint) as cy, cluster
+from res where flag = 'core'
+""")
+def d3_cell_cluster_merge(spark, sf_dir):
+    return D.cell_clusters(I.points(spark, sf_dir), EPS, MIN_PTS)
+
+
+@register("j8_distance_self_join_counts", _DB_SQL + "select id, n as neighbours from cnt")
+def j8_distance_self_join_counts(spark, sf_dir):
+    """Neighbour count within eps (self included) for every point, via J7/J8 on cells."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import types as T
+    from ..operators.blocks import chunked_cogroup
+    g = D._grid(I.points(spark, sf_dir), EPS, "x", "y", "id")
+
+    def count_fn(lpdf, rpdf):
+        within = D._d(lpdf, rpdf) <= EPS
+        return pd.DataFrame({"id": lpdf["id"].to_numpy(), "n": within.sum(1).astype(np.int64)})
+
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType())])
+    part = chunked_cogroup(D._route(g).select("key", "id", "x", "y"),
+                           g.select(F.col("cell").alias("key"), "id", "x", "y"),
+                           "key", count_fn, schema, "id", "id")
+    return part.groupBy("id").agg(F.sum("n").alias("neighbours"))
+
+
+@register("d4_even_split")
+def d4_even_split(spark, sf_dir):
+    return D.even_split(I.points(spark, sf_dir), EPS, 100)
