@@ -107,3 +107,33 @@ def graph_vertices(spark, sf_dir) -> DataFrame:
 
 
 VERTICES_SQL = "select vec_id as id from embeddings"
+
+
+# --- 3-class rows for the pyspark.ml jobs: label = return flag index ---------
+def class_rows(spark, sf_dir) -> DataFrame:
+    r = regression_rows(spark, sf_dir).drop("label")
+    li = table(spark, sf_dir, "lineitem")
+    lab = F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 1.0).otherwise(2.0)
+    return li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+                     (F.col("l_quantity") / 50.0).alias("x0"), (F.col("l_extendedprice") / 10000.0).alias("x1"),
+                     (F.col("l_discount") * 10.0).alias("x2"), (F.col("l_tax") * 10.0).alias("x3"),
+                     lab.alias("label"))
+
+
+# --- credit-style integer fields for the regression-table scorer (M14) -------
+def credit_rows(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     F.col("l_linenumber").alias("pay_0"),
+                     F.floor(F.col("l_quantity") / 10).cast("int").alias("pay_2"),
+                     F.round(F.col("l_discount") * 100).cast("int").alias("pay_3"),
+                     F.round(F.col("l_tax") * 100).cast("int").alias("pay_4"),
+                     (F.col("l_linenumber") % 3).alias("pay_5"),
+                     F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("pay_6"),
+                     F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("next_month"))
+
+
+CREDIT_SQL = ("select l_orderkey, l_linenumber, l_linenumber as pay_0, cast(floor(l_quantity / 10) as int) as pay_2, "
+              "cast(round(l_discount * 100) as int) as pay_3, cast(round(l_tax * 100) as int) as pay_4, "
+              "l_linenumber % 3 as pay_5, case when l_linestatus = 'O' then 1 else 0 end as pay_6, "
+              "case when l_returnflag = 'R' then 1 else 0 end as next_month from lineitem")
