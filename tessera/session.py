@@ -69,9 +69,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (reliable checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and
+    read it back.
+
+    Like a reliable checkpoint it survives executor loss and ends the
+    lineage; unlike ``Dataset.checkpoint`` the new plan carries none of the
+    old plan's constraints, which otherwise pile up over hundreds of loop
+    steps and make planning slower every step.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "step")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def row_count_at_most(df: DataFrame, limit: int) -> int | None:
