@@ -124,8 +124,9 @@ def top_k(query: DataFrame, cand: DataFrame, k: int, *, qid: str = "id", tid: st
     if not force_blocked and not quota_mode:
         small = _collect_if_small(c, broadcast_bytes)
         if small is not None:
-            long = _broadcast_path(q, small, schema, aux, opts)
-            return _rank(long, k, metric, value_name)
+            # every query row meets all candidates in its own batch: the
+            # ranking is final there, no shuffle afterwards
+            return _broadcast_path(q, small, schema, aux, opts)
     long = _blocked_path(q, c, schema, aux, opts, pivots if metric == "l2" else 0, tau,
                          block_rows, seed, chunk_by_id, chunk_quota, broadcast_bytes)
     return _rank(long, k, metric, value_name)
@@ -157,6 +158,7 @@ def _broadcast_path(q: DataFrame, small: pd.DataFrame, schema, aux, opts) -> Dat
     Tm = _matrix(small["_tv"])
     aux_cols = {f"aux_{a}": small[f"aux_{a}"].to_numpy() for a in aux}
     bc = spark.sparkContext.broadcast((tids, Tm, aux_cols))
+    schema = T.StructType(schema.fields[:3] + [T.StructField("rank", T.IntegerType())] + schema.fields[3:])
     names = [f.name for f in schema.fields]
 
     def run(batches):
@@ -167,7 +169,10 @@ def _broadcast_path(q: DataFrame, small: pd.DataFrame, schema, aux, opts) -> Dat
             Q = _matrix(pdf["_qv"])
             qids = pdf["_qid"].to_numpy()
             r, ci, v = _score_block(Q, qids, Tm_, tids_, **opts)
-            out = {"qid": qids[r], "tid": tids_[ci], names[2]: v}
+            # rows come out grouped by query, best first
+            starts = np.r_[0, np.nonzero(np.diff(r))[0] + 1] if len(r) else np.zeros(0, int)
+            rank = np.arange(len(r)) - np.repeat(starts, np.diff(np.r_[starts, len(r)])) + 1
+            out = {"qid": qids[r], "tid": tids_[ci], names[2]: v, "rank": rank.astype(np.int32)}
             for a, arr in aux_.items():
                 out[a] = arr[ci]
             yield pd.DataFrame(out, columns=names)
