@@ -85,3 +85,23 @@ where rank <= {NUM}
 def r4_partition_tuning(spark, sf_dir):
     f = R.tune_partitions(_factors(spark, sf_dir), 4)
     return _long(R.recommend_for_all(f, f, NUM, block_size=BLOCK, force_blocked=True))
+
+
+@register("s12_als_factor_tables")
+def s12_als_factor_tables(spark, sf_dir):
+    """Factor tables of a fitted ALS model (implicit purchase counts of brands
+    per customer over all orders), then top-N brands per customer."""
+    from pyspark.ml.recommendation import ALS
+    from ..sources.files import factor_tables
+    li = I.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    o = I.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    pa = I.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    from ..operators.features import index_labels
+    pa = index_labels(pa, "p_brand", "brand_index")
+    counts = (li.join(o, "l_orderkey").join(pa, "l_partkey")
+              .groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("brand_index").cast("int").alias("item"))
+              .agg(F.count(F.lit(1)).cast("float").alias("rating")))
+    model = ALS(rank=8, maxIter=5, implicitPrefs=True, seed=7, userCol="user", itemCol="item",
+                ratingCol="rating", coldStartStrategy="drop").fit(counts)
+    users, items = factor_tables(model)
+    return _long(R.recommend_for_all(users, items, 3))

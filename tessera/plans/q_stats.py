@@ -121,3 +121,13 @@ def a14_bag_union(spark, sf_dir):
     a = o.filter(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey", F.col("o_orderpriority").alias("tag"))
     b = o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", F.col("o_orderstatus").alias("tag"))
     return A.bag_union(a, b)
+
+
+@register("a8_collect_bounded_group", f"""
+with b as ({I.BASKET_ITEMS_SQL})
+select basket, list_sort(list(item)) as items, count(*) as n_items from b group by basket
+""")
+def a8_collect_bounded_group(spark, sf_dir):
+    """Gather a group only where its size is bounded by a dictionary (brands)."""
+    b = I.baskets(spark, sf_dir)
+    return b.select("basket", "items", F.size("items").cast("bigint").alias("n_items"))
