@@ -49,17 +49,25 @@ def _grid(points: DataFrame, eps: float, x: str, y: str, id_col: str) -> DataFra
         .withColumn("cell", _pack(F.col("cx"), F.col("cy")))
 
 
-_OFFSETS = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3)]
+def _tile_of(c, tile: int):
+    return F.floor(F.col(c) / F.lit(tile)).cast("bigint")
 
 
-def _route(df: DataFrame, only_greater: bool = False) -> DataFrame:
-    """One row per (point, neighbouring cell) over the 5x5 neighbourhood."""
-    offs = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _OFFSETS]))
-    r = df.select("*", offs.alias("o")).withColumn(
-        "key", _pack(F.col("cx") + F.col("o.dx"), F.col("cy") + F.col("o.dy"))).drop("o")
-    if only_greater:
-        r = r.filter(F.col("key") > F.col("cell"))
-    return r
+def _candidates(df: DataFrame, tile: int) -> DataFrame:
+    """Candidate side: every point keyed by the tile (tile x tile cells) holding its cell."""
+    return df.withColumn("key", _pack(_tile_of("cx", tile), _tile_of("cy", tile)))
+
+
+def _route(df: DataFrame, tile: int) -> DataFrame:
+    """Query side: one row per tile touched by the point's 5x5 cell neighbourhood
+    (at most 4 tiles when tile >= 4), so each (point, candidate) pair meets once."""
+    lo_x = F.floor((F.col("cx") - 2) / F.lit(tile)).cast("bigint")
+    hi_x = F.floor((F.col("cx") + 2) / F.lit(tile)).cast("bigint")
+    lo_y = F.floor((F.col("cy") - 2) / F.lit(tile)).cast("bigint")
+    hi_y = F.floor((F.col("cy") + 2) / F.lit(tile)).cast("bigint")
+    return (df.withColumn("_tx", F.explode(F.sequence(lo_x, hi_x)))
+              .withColumn("_ty", F.explode(F.sequence(lo_y, hi_y)))
+              .withColumn("key", _pack(F.col("_tx"), F.col("_ty"))).drop("_tx", "_ty"))
 
 
 def _d(lpdf, rpdf):
@@ -70,7 +78,7 @@ def _d(lpdf, rpdf):
 
 
 def dbscan(points: DataFrame, eps: float, min_points: int, *, x: str = "x", y: str = "y",
-           id_col: str = "id", block_rows: int = 2048) -> DataFrame:
+           id_col: str = "id", block_rows: int = 2048, tile: int = 8) -> DataFrame:
     """``id, x, y, flag ('core' | 'border' | 'noise'), cluster`` for every point."""
     g = _grid(points, eps, x, y, id_col)
     cells = g.groupBy("cell").agg(F.count(F.lit(1)).alias("n_cell"))
@@ -84,8 +92,8 @@ def dbscan(points: DataFrame, eps: float, min_points: int, *, x: str = "x", y: s
         return pd.DataFrame({"id": lpdf["id"].to_numpy(), "n": within.sum(1).astype(np.int64)})
 
     cnt_schema = T.StructType([T.StructField("id", g.schema["id"].dataType), T.StructField("n", T.LongType())])
-    cand = g.select(F.col("cell").alias("key"), "id", "x", "y")
-    partial = chunked_cogroup(_route(sparse.select("id", "x", "y", "cx", "cy", "cell")).select("key", "id", "x", "y"),
+    cand = _candidates(g, tile).select("key", "id", "x", "y")
+    partial = chunked_cogroup(_route(sparse.select("id", "x", "y", "cx", "cy"), tile).select("key", "id", "x", "y"),
                               cand, "key", count_fn, cnt_schema, "id", "id", block_rows)
     sparse_core = partial.groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_points).select("id")
     core = cut_lineage(dense.select("id", "x", "y", "cx", "cy", "cell").unionByName(
@@ -93,13 +101,15 @@ def dbscan(points: DataFrame, eps: float, min_points: int, *, x: str = "x", y: s
 
     # 2. links between neighbouring core cells
     def link_fn(lpdf, rpdf):
-        near = (_d(lpdf, rpdf) <= eps).any(axis=1)
-        src = np.unique(lpdf["cell"].to_numpy()[near])
-        return pd.DataFrame({"src": src, "dst": np.full(len(src), rpdf["key"].iloc[0], dtype=np.int64)})
+        lc, rc = lpdf["cell"].to_numpy(), rpdf["cell"].to_numpy()
+        hit = (_d(lpdf, rpdf) <= eps) & (lc[:, None] < rc[None, :])
+        qi, ci = np.nonzero(hit)
+        pairs = np.unique(np.stack([lc[qi], rc[ci]], axis=1), axis=0) if len(qi) else np.zeros((0, 2), np.int64)
+        return pd.DataFrame({"src": pairs[:, 0].astype(np.int64), "dst": pairs[:, 1].astype(np.int64)})
 
     link_schema = T.StructType([T.StructField("src", T.LongType()), T.StructField("dst", T.LongType())])
-    core_cand = core.select(F.col("cell").alias("key"), "id", "x", "y")
-    links = chunked_cogroup(_route(core, only_greater=True).select("key", "id", "x", "y", "cell"),
+    core_cand = _candidates(core, tile).select("key", "id", "x", "y", "cell")
+    links = chunked_cogroup(_route(core, tile).select("key", "id", "x", "y", "cell"),
                             core_cand, "key", link_fn, link_schema, "id", "id", block_rows).distinct()
 
     # 3. clusters = components of the core-cell graph; id = smallest core id
@@ -123,8 +133,8 @@ def dbscan(points: DataFrame, eps: float, min_points: int, *, x: str = "x", y: s
     b_schema = T.StructType([T.StructField("id", g.schema["id"].dataType), T.StructField("d", T.DoubleType()),
                              T.StructField("cluster", core_l.schema["cluster"].dataType)])
     non_core = g.select("id", "x", "y", "cx", "cy", "cell").join(core.select("id"), "id", "left_anti")
-    bc = chunked_cogroup(_route(non_core).select("key", "id", "x", "y"),
-                         core_l.select(F.col("cell").alias("key"), "id", "x", "y", "cluster"),
+    bc = chunked_cogroup(_route(non_core, tile).select("key", "id", "x", "y"),
+                         _candidates(core_l, tile).select("key", "id", "x", "y", "cluster"),
                          "key", border_fn, b_schema, "id", "id", block_rows)
     border = bc.groupBy("id").agg(F.min(F.struct("d", "cluster")).alias("m")).select("id", F.col("m.cluster").alias("cluster"))
 

@@ -174,7 +174,9 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         sm = sb.groupBy("u").agg(F.min("v").alias("m"))
         small = sb.join(sm, "u").select("v", "m").unionByName(sm.select(F.col("u").alias("v"), "m"))
         nxt = cut_lineage(_canon_pairs(small, "v", "m"))
-        changed = nxt.exceptAll(cur).limit(1).count() + cur.exceptAll(nxt).limit(1).count()
+        # one job: pairs present on one side only
+        changed = (nxt.withColumn("_n", F.lit(1)).join(cur.withColumn("_c", F.lit(1)), ["a", "b"], "full_outer")
+                   .filter(F.col("_n").isNull() | F.col("_c").isNull()).limit(1).count())
         cur = nxt
         if changed == 0:
             break

@@ -68,8 +68,8 @@ def j8_distance_self_join_counts(spark, sf_dir):
         return pd.DataFrame({"id": lpdf["id"].to_numpy(), "n": within.sum(1).astype(np.int64)})
 
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType())])
-    part = chunked_cogroup(D._route(g).select("key", "id", "x", "y"),
-                           g.select(F.col("cell").alias("key"), "id", "x", "y"),
+    part = chunked_cogroup(D._route(g, 8).select("key", "id", "x", "y"),
+                           D._candidates(g, 8).select("key", "id", "x", "y"),
                            "key", count_fn, schema, "id", "id")
     return part.groupBy("id").agg(F.sum("n").alias("neighbours"))
 
