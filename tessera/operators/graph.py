@@ -60,26 +60,27 @@ def shortest_paths(vertices: DataFrame, edges: DataFrame, origin, weight: str =
     """
     e = edges.select("src", "dst", F.col(weight).alias("w"))
     wtype = e.schema["w"].dataType
+    # one table per step: best known (distance, predecessor) and whether it just improved
     best = cut_lineage(vertices.filter(F.col("id") == F.lit(origin)).select(
-        "id", F.lit(0).cast(wtype).alias("d"), F.lit(None).cast("long").alias("pred")))
-    frontier = best
+        "id", F.lit(0).cast(wtype).alias("d"), F.lit(None).cast("long").alias("pred"), F.lit(True).alias("fresh")))
     step = 0
     while True:
         step += 1
+        frontier = best.filter("fresh").select("id", "d")
         cand = (frontier.join(e, frontier.id == e.src)
                 .groupBy(F.col("dst").alias("id"))
                 .agg(F.min(F.struct((F.col("d") + F.col("w")).alias("d"), F.col("src").alias("pred"))).alias("c"))
-                .select("id", "c.d", "c.pred"))
-        old = best.select("id", F.col("d").alias("od"), F.col("pred").alias("op"))
-        improved = (cand.join(old, "id", "left")
-                    .filter(F.col("od").isNull() | (F.col("d") < F.col("od")) |
-                            ((F.col("d") == F.col("od")) & F.col("op").isNotNull() & (F.col("pred") < F.col("op"))))
-                    .select("id", "d", "pred"))
-        improved = cut_lineage(improved)
-        if improved.count() == 0 or (max_iter is not None and step >= max_iter):
+                .select("id", F.col("c.d").alias("cd"), F.col("c.pred").alias("cp")))
+        m = best.join(cand, "id", "full_outer")
+        better = F.col("cd").isNotNull() & (
+            F.col("d").isNull() | (F.col("cd") < F.col("d")) |
+            ((F.col("cd") == F.col("d")) & F.col("pred").isNotNull() & (F.col("cp") < F.col("pred"))))
+        best = cut_lineage(m.select("id", F.when(better, F.col("cd")).otherwise(F.col("d")).alias("d"),
+                                    F.when(better, F.col("cp")).otherwise(F.col("pred")).alias("pred"),
+                                    better.alias("fresh")))
+        if best.filter("fresh").limit(1).count() == 0 or (max_iter is not None and step >= max_iter):
             break
-        best = cut_lineage(best.join(improved.select("id"), "id", "left_anti").unionByName(improved))
-        frontier = improved
+    best = best.drop("fresh")
     return (vertices.select("id").join(best, "id", "left")
             .select("id", F.col("d").alias("distance"), F.col("pred").alias("predecessor")))
 
