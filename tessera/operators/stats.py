@@ -108,6 +108,8 @@ def loglog_tau(stats: DataFrame, total: int, n: str = "n", r: str = "r") -> Data
     When b > 0 or the fit is undefined, fall back to the largest R.
     """
     lt = math.log(total)
+    # identical (N, R) pairs (sizes at or above the table size) count once
+    stats = stats.select(n, r).distinct()
     fit = stats.agg(F.regr_slope(F.log(r), F.log(n)).alias("b"),
                     F.regr_intercept(F.log(r), F.log(n)).alias("a"),
                     F.max(r).alias("r_max"))
