@@ -115,11 +115,16 @@ def gradient(df: DataFrame, model: FMModel, features: str = "features", label: s
 
     parts = src.mapInPandas(run, schema)
     dim = 1 + n + n * k
-    agg = parts.agg(*[F.sum(F.col("g")[i]).alias(f"g{i}") for i in range(dim)],
-                    F.sum("loss").alias("loss"), F.sum("n").alias("n")).first()
-    if agg is None or agg["n"] is None:
-        return np.zeros(dim), 0.0, 0
-    return np.array([agg[f"g{i}"] for i in range(dim)]), float(agg["loss"]), int(agg["n"])
+    # one row per model weight (model-sized), summed over all batch partials
+    g = np.zeros(dim)
+    tot = parts.select(F.posexplode(F.concat("g", F.array(F.col("loss"), F.col("n").cast("double"))))
+                       .alias("pos", "v")).groupBy("pos").agg(F.sum("v").alias("v")).collect()
+    if not tot:
+        return g, 0.0, 0
+    full = np.zeros(dim + 2)
+    for r in tot:
+        full[r["pos"]] = r["v"]
+    return full[:dim], float(full[dim]), int(round(full[dim + 1]))
 
 
 def gradient_table(df: DataFrame, model: FMModel, features="features", label="label") -> DataFrame:
@@ -257,9 +262,11 @@ def train_parallel_adagrad(df: DataFrame, num_factors: int = 4, rounds: int = 5,
                 yield pd.DataFrame({"v": [Vl.ravel()]})
 
         parts = src.mapInPandas(run, schema)
-        dim = n * num_factors
-        row = parts.agg(*[F.avg(F.col("v")[i]).alias(f"a{i}") for i in range(dim)]).first()
-        V = np.array([row[f"a{i}"] for i in range(dim)]).reshape(n, num_factors)
+        avg = parts.select(F.posexplode("v").alias("pos", "x")).groupBy("pos").agg(F.avg("x").alias("x")).collect()
+        flat = np.zeros(n * num_factors)
+        for r in avg:
+            flat[r["pos"]] = r["x"]
+        V = flat.reshape(n, num_factors)
     return V
 
 
