@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import broadcast_if_bounded, cut_lineage
 from .ordered import running_totals
 
 # Fibonacci hashing constant: frac(id * PHI) is a deterministic uniform-ish
@@ -128,13 +128,13 @@ def label_index_table(df: DataFrame, col: str) -> DataFrame:
 
 def index_labels(df: DataFrame, col: str, out: str = "label_index") -> DataFrame:
     table = label_index_table(df, col).select(F.col("value").alias(col), F.col("label_index").alias(out))
-    return df.join(F.broadcast(table), col, "left")
+    return df.join(broadcast_if_bounded(table), col, "left")
 
 
 def labels_from_index(df: DataFrame, index_col: str, table: DataFrame, out: str = "label_value") -> DataFrame:
     """Inverse of :func:`index_labels`."""
     t = table.select(F.col("label_index").alias(index_col), F.col("value").alias(out))
-    return df.join(F.broadcast(t), index_col, "left")
+    return df.join(broadcast_if_bounded(t), index_col, "left")
 
 
 def scale_fixed(df: DataFrame, cols: list[str], lo: float, hi: float) -> DataFrame:

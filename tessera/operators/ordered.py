@@ -44,7 +44,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str],
                                         for c in sum_cols])
     key = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w = Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    out = staged.join(F.broadcast(offsets), "_range", "left")
+    out = staged.join(F.broadcast(offsets), "_range", "left")  # n rows, n = ranges (a parameter)
     for c in sum_cols:
         out = out.withColumn(f"{c}{suffix}", F.sum(c).over(w) + F.col(f"_off_{c}"))
     return out.drop("_range", *[f"_off_{c}" for c in sum_cols])

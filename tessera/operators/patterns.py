@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_bounded
 from .stats import frequent_items
 
 
@@ -22,7 +23,7 @@ def conditional_transactions(baskets: DataFrame, min_count: int, partitions: int
     partition (rank mod ``partitions``) the prefix ending at the last item of
     that partition.  Output ``basket, part, prefix array<int>``."""
     ranks = item_ranks(baskets, min_count, items).select(F.col("item"), "rank")
-    ex = baskets.select(basket, F.explode(items).alias("item")).join(F.broadcast(ranks), "item")
+    ex = baskets.select(basket, F.explode(items).alias("item")).join(broadcast_if_bounded(ranks), "item")
     per = ex.groupBy(basket).agg(F.array_sort(F.collect_set("rank")).alias("ranks"))
     idx = F.sequence(F.lit(0), F.size("ranks") - 1)
     parts = F.transform(F.sequence(F.lit(0), F.lit(partitions - 1)), lambda p: F.struct(

@@ -89,7 +89,10 @@ def row_count_at_most(df: DataFrame, limit: int) -> int | None:
     return n if n <= limit else None
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+DICTIONARY_ROWS = 1_000_000  # label / item dictionaries broadcast below this many rows
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DICTIONARY_ROWS) -> DataFrame:
     """Hint a broadcast only when the row count is proven <= ``max_rows``."""
     return F.broadcast(df) if row_count_at_most(df, max_rows) is not None else df
 
