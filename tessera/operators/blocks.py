@@ -246,7 +246,9 @@ def _blocked_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed,
         dims = c.select(F.size("_tv").alias("d")).first()["d"]
         if pivots * dims * 8 > broadcast_bytes:
             raise ValueError("pivot table exceeds the broadcast bound")
-        sample = (c.select("_tid", "_tv").orderBy(F.xxhash64("_tid", F.lit(seed))).limit(pivots).toPandas())
+        from .features import unit_hash
+        # pivots: the first rows of a seeded id-hash order (reproducible anywhere)
+        sample = (c.select("_tid", "_tv").orderBy(unit_hash("_tid", seed), F.col("_tid")).limit(pivots).toPandas())
         pv = _matrix(sample["_tv"])
         ca = _assign_pivots(c, pv)
         st = ca.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"), F.max("_pd").alias("r")).toPandas()
