@@ -272,7 +272,10 @@ def _blocked_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed,
     else:
         sizes["tchunks"] = np.maximum(1, np.ceil(sizes["nc"] / block_rows)).astype(int)
     sizes["qchunks"] = np.maximum(1, np.ceil(sizes["nq"] / block_rows)).astype(int)
-    plan = spark.createDataFrame(sizes[["_pid", "tchunks", "qchunks"]].astype("int32"))
+    plan = spark.createDataFrame(sizes[["_pid", "tchunks", "qchunks"]].astype("int64").values.tolist(),
+                                 "_pid long, tchunks long, qchunks long")
+    # cogroup keys must have one type on both sides (int), whatever pandas gave
+    plan = plan.select(*[F.col(c).cast("int").alias(c) for c in ("_pid", "tchunks", "qchunks")])
     plan = F.broadcast(plan)  # one row per partition: bounded by the pivot count
     if chunk_by_id is not None:
         tchunk = F.pmod(F.col("_tid"), F.col("tchunks")).cast("int")
@@ -280,9 +283,11 @@ def _blocked_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed,
         tchunk = F.pmod(F.xxhash64("_tid", F.lit(seed + 1)), F.col("tchunks")).cast("int")
     ck = (ca.join(plan, "_pid").withColumn("_tc", tchunk)
           .withColumn("_qc", F.explode(F.sequence(F.lit(0), F.col("qchunks") - 1)))
+          .withColumn("_qc", F.col("_qc").cast("int"))
           .drop("tchunks", "qchunks"))
     qk = (qa.join(plan, "_pid").withColumn("_qc", F.pmod(F.xxhash64("_qid", F.lit(seed + 2)), F.col("qchunks")).cast("int"))
           .withColumn("_tc", F.explode(F.sequence(F.lit(0), F.col("tchunks") - 1)))
+          .withColumn("_tc", F.col("_tc").cast("int"))
           .drop("tchunks", "qchunks"))
     names = [f.name for f in schema.fields]
     aux_names = [f"aux_{a}" for a in aux]
@@ -327,10 +332,12 @@ def chunked_cogroup(left: DataFrame, right: DataFrame, key: str, fn, schema,
     L = (left.join(plan, key)
          .withColumn("_lc", F.pmod(F.xxhash64(lid, F.lit(seed)), F.col("_lch")).cast("int"))
          .withColumn("_rc", F.explode(F.sequence(F.lit(0), F.col("_rch") - 1)))
+         .withColumn("_rc", F.col("_rc").cast("int"))
          .drop("_lch", "_rch"))
     R = (right.join(plan, key)
          .withColumn("_rc", F.pmod(F.xxhash64(rid, F.lit(seed + 1)), F.col("_rch")).cast("int"))
          .withColumn("_lc", F.explode(F.sequence(F.lit(0), F.col("_lch") - 1)))
+         .withColumn("_lc", F.col("_lc").cast("int"))
          .drop("_lch", "_rch"))
     names = [f.name for f in schema.fields]
 
