@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, release
 from .stats import degrees
 
 
@@ -75,9 +75,11 @@ def shortest_paths(vertices: DataFrame, edges: DataFrame, origin, weight: str =
         better = F.col("cd").isNotNull() & (
             F.col("d").isNull() | (F.col("cd") < F.col("d")) |
             ((F.col("cd") == F.col("d")) & F.col("pred").isNotNull() & (F.col("cp") < F.col("pred"))))
+        prev = best
         best = cut_lineage(m.select("id", F.when(better, F.col("cd")).otherwise(F.col("d")).alias("d"),
                                     F.when(better, F.col("cp")).otherwise(F.col("pred")).alias("pred"),
                                     better.alias("fresh")))
+        release(prev)
         if best.filter("fresh").limit(1).count() == 0 or (max_iter is not None and step >= max_iter):
             break
     best = best.drop("fresh")
@@ -97,8 +99,10 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, steps: int) -> Data
                    .groupBy(F.col("dst").alias("id"), "label").agg(F.count(F.lit(1)).alias("n"))
         w = Window.partitionBy("id").orderBy(F.col("n").desc(), F.col("label").asc())
         top = msgs.withColumn("r", F.row_number().over(w)).filter("r = 1").select("id", F.col("label").alias("nl"))
+        prev = labels
         labels = cut_lineage(labels.join(top, "id", "left")
                              .select("id", F.coalesce("nl", "label").alias("label")))
+        release(prev)
     return labels
 
 
@@ -178,6 +182,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         # one job: pairs present on one side only
         changed = (nxt.withColumn("_n", F.lit(1)).join(cur.withColumn("_c", F.lit(1)), ["a", "b"], "full_outer")
                    .filter(F.col("_n").isNull() | F.col("_c").isNull()).limit(1).count())
+        release(cur)
         cur = nxt
         if changed == 0:
             break

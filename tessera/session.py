@@ -80,7 +80,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "step")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._tessera_path = path
+    return out
+
+
+def release(df: DataFrame | None) -> None:
+    """Delete the table behind a :func:`cut_lineage` result.
+
+    Loops call it on the previous step once the next step has been written
+    (the new table is read from its own files, so nothing depends on the old
+    one); without it every step of every loop would stay on shared storage.
+    """
+    path = getattr(df, "_tessera_path", None) if df is not None else None
+    if not path:
+        return
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def row_count_at_most(df: DataFrame, limit: int) -> int | None:
