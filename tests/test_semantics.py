@@ -63,3 +63,16 @@ def test_conditional_transactions_prefixes(spark):
     # ranks: a 0 (3), b 1 (2), c 2 (1); with 2 partitions: rank mod 2
     got = {(r["basket"], r["part"]): r["prefix"] for r in Q.conditional_transactions(b, 1, 2).collect()}
     assert got == {(1, 0): [0, 1, 2], (1, 1): [0, 1], (2, 1): [0, 1], (2, 0): [0], (3, 0): [0]}
+
+
+def test_ml_estimator_surface(spark):
+    from tessera.operators.knn_ml import KNN, KNNClassifier, KNNRegression
+    df = _line(spark)
+    q = spark.createDataFrame([(100, [1.0])], "id long, features array<double>")
+    m = KNN().setK(2).setAuxCols(["label"]).fit(df)
+    row = m.transform(q).first()
+    assert [n["id"] for n in row["neighbors"]] == [2, 1] and row["distances"] == [0.0, 1.0]
+    c = KNNClassifier().setK(3).setWeightCol("w").fit(df).transform(q).first()
+    assert c["prediction"] == 1.0
+    r = KNNRegression().setK(3).fit(df).transform(q).first()
+    assert r["prediction"] == pytest.approx(1 / 3)
