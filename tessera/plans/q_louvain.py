@@ -117,9 +117,9 @@ def g13_louvain_levels(spark, sf_dir):
         write_levels(state, edges, base, level)
 
     levels, assign = L.louvain(v, g, min_progress=50, progress_counter=2, on_level=save, max_iter=40)
-    summary = spark.createDataFrame([(lv, float(q), p) for lv, q, p in levels], "level int, q double, passes int")
-    counts = assign.groupBy("community").agg(F.count(F.lit(1)).alias("members"))
-    return summary.crossJoin(counts.agg(F.count(F.lit(1)).alias("communities")))
+    n_comm = assign.select("community").distinct().count()
+    rows = [(lv, float(q), p, n_comm) for lv, q, p in levels]  # one row per level
+    return spark.createDataFrame(rows, "level int, q double, passes int, communities long")
 
 
 @register("s11_level_snapshots")
