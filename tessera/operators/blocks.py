@@ -313,7 +313,7 @@ def _blocked_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed,
     return qk.groupBy(*keys).cogroup(ck.groupBy(*keys)).applyInPandas(group, schema)
 
 
-def chunked_cogroup(left: DataFrame, right: DataFrame, key: str, fn, schema,
+def chunked_cogroup(left: DataFrame, right: DataFrame, key, fn, schema,
                     lid: str, rid: str, block_rows: int = 2048, seed: int = 11) -> DataFrame:
     """Cogroup two keyed tables with every key cut into bounded chunks.
 
@@ -324,10 +324,11 @@ def chunked_cogroup(left: DataFrame, right: DataFrame, key: str, fn, schema,
     with the data and is never collected).  ``fn(left_pdf, right_pdf)``
     returns a pandas frame with ``schema``.
     """
-    lc = left.groupBy(key).agg(F.count(F.lit(1)).alias("_nl"))
-    rc = right.groupBy(key).agg(F.count(F.lit(1)).alias("_nr"))
+    key = [key] if isinstance(key, str) else list(key)
+    lc = left.groupBy(*key).agg(F.count(F.lit(1)).alias("_nl"))
+    rc = right.groupBy(*key).agg(F.count(F.lit(1)).alias("_nr"))
     plan = lc.join(rc, key).select(
-        key, F.ceil(F.col("_nl") / block_rows).cast("int").alias("_lch"),
+        *key, F.ceil(F.col("_nl") / block_rows).cast("int").alias("_lch"),
         F.ceil(F.col("_nr") / block_rows).cast("int").alias("_rch"))
     L = (left.join(plan, key)
          .withColumn("_lc", F.pmod(F.xxhash64(lid, F.lit(seed)), F.col("_lch")).cast("int"))
@@ -346,7 +347,7 @@ def chunked_cogroup(left: DataFrame, right: DataFrame, key: str, fn, schema,
             return pd.DataFrame({n: [] for n in names})
         return fn(lpdf, rpdf)
 
-    keys = [key, "_lc", "_rc"]
+    keys = key + ["_lc", "_rc"]
     # fresh attribute ids: both sides often derive from one table (self joins)
     L = L.select(*[F.col(c).alias(c) for c in L.columns])
     R = R.select(*[F.col(c).alias(c) for c in R.columns])

@@ -40,8 +40,12 @@ def _pack(cx, cy):
     return cx * F.lit(_SHIFT) + cy
 
 
+def side_of(eps: float) -> float:
+    return eps / math.sqrt(2.0) * (1.0 - 1e-12)
+
+
 def _grid(points: DataFrame, eps: float, x: str, y: str, id_col: str) -> DataFrame:
-    side = eps / math.sqrt(2.0) * (1.0 - 1e-12)
+    side = side_of(eps)
     return points.select(F.col(id_col).alias("id"), F.col(x).cast("double").alias("x"),
                          F.col(y).cast("double").alias("y")) \
         .withColumn("cx", F.floor(F.col("x") / side).cast("bigint")) \
@@ -70,6 +74,88 @@ def _route(df: DataFrame, tile: int) -> DataFrame:
               .withColumn("key", _pack(F.col("_tx"), F.col("_ty"))).drop("_tx", "_ty"))
 
 
+_SUB = 4  # sub-cells per cell side used to certify links without point pairs
+
+
+def _certain_table(spark, eps: float, side: float) -> DataFrame:
+    """Fixed table (24 offsets x 16 sub-cells = 384 rows): for cell offset
+    (dx, dy) and sub-cell i of the lower cell, the mask of sub-cells j of the
+    other cell whose farthest corners are within eps -- any occupied such
+    pair links the two cells for certain."""
+    sub = side / _SUB
+    rows = []
+    for dx in range(-2, 3):
+        for dy in range(-2, 3):
+            if dx == 0 and dy == 0:
+                continue
+            for ia in range(_SUB):
+                for ja in range(_SUB):
+                    mask = 0
+                    for ib in range(_SUB):
+                        for jb in range(_SUB):
+                            mx = max(abs(_SUB * dx + ib + 1 - ia), abs(_SUB * dx + ib - ia - 1))
+                            my = max(abs(_SUB * dy + jb + 1 - ja), abs(_SUB * dy + jb - ja - 1))
+                            if sub * math.sqrt(mx * mx + my * my) <= eps * (1 - 1e-9):
+                                mask |= 1 << (ib * _SUB + jb)
+                    rows.append((dx, dy, ia * _SUB + ja, mask))
+    return spark.createDataFrame(rows, "dx long, dy long, i int, jmask long")
+
+
+def _core_cell_links(core: DataFrame, eps: float, side: float, block_rows: int) -> DataFrame:
+    """Pairs (src < dst) of neighbouring core cells holding two cores within eps.
+
+    Stage 1 settles most pairs from sub-cell occupancy masks alone (a bitwise
+    test per pair); stage 2 compares points only for the remaining pairs,
+    grouped by the cell pair, so a crowded cell costs work linear in its size.
+    """
+    spark = core.sparkSession
+    subi = F.least(F.lit(_SUB - 1), F.greatest(F.lit(0), F.floor((F.col("x") / side - F.col("cx")) * _SUB))).cast("int")
+    subj = F.least(F.lit(_SUB - 1), F.greatest(F.lit(0), F.floor((F.col("y") / side - F.col("cy")) * _SUB))).cast("int")
+    occ = core.groupBy("cell", "cx", "cy").agg(
+        F.bit_or(F.pow(F.lit(2.0), subi * _SUB + subj).cast("long")).alias("mask"))
+    offs = F.explode(F.array(*[F.struct(F.lit(dx).cast("long").alias("dx"), F.lit(dy).cast("long").alias("dy"))
+                               for dx in range(-2, 3) for dy in range(-2, 3) if (dx, dy) != (0, 0)]))
+    other = occ.select(F.col("cell").alias("dst"), F.col("mask").alias("mask_b"))
+    pairs = (occ.select(F.col("cell").alias("src"), "cx", "cy", F.col("mask").alias("mask_a"), offs.alias("o"))
+             .select("src", "mask_a", F.col("o.dx").alias("dx"), F.col("o.dy").alias("dy"),
+                     _pack(F.col("cx") + F.col("o.dx"), F.col("cy") + F.col("o.dy")).alias("dst"))
+             .filter(F.col("dst") > F.col("src"))
+             .join(other, "dst"))
+    bits = F.expr(f"filter(sequence(0, {_SUB * _SUB - 1}), b -> (shiftright(mask_a, b) & 1) = 1)")
+    table = F.broadcast(_certain_table(spark, eps, side))  # fixed 384 rows
+    certain = (pairs.select("src", "dst", "dx", "dy", "mask_b", F.explode(bits).alias("i"))
+               .join(table, ["dx", "dy", "i"])
+               .filter(F.col("mask_b").bitwiseAND(F.col("jmask")) != 0)
+               .select("src", "dst").distinct())
+    certain = cut_lineage(certain)
+    open_pairs = cut_lineage(pairs.select("src", "dst").join(certain, ["src", "dst"], "left_anti"))
+
+    def link_fn(lpdf, rpdf):
+        # rows of several open pairs share a group (one per tile): only same-pair rows are compared
+        lp = pd.MultiIndex.from_arrays([lpdf["src"], lpdf["dst"]])
+        rp = pd.MultiIndex.from_arrays([rpdf["src"], rpdf["dst"]])
+        codes, uniq = pd.factorize(lp.append(rp))
+        lc, rc = codes[:len(lpdf)], codes[len(lpdf):]
+        hit = (lc[:, None] == rc[None, :]) & (_d(lpdf, rpdf) <= eps)
+        got = np.unique(lc[np.nonzero(hit)[0]])
+        pairs = uniq[got]
+        return pd.DataFrame({"src": np.asarray([p[0] for p in pairs], dtype=np.int64),
+                             "dst": np.asarray([p[1] for p in pairs], dtype=np.int64)})
+
+    link_schema = T.StructType([T.StructField("src", T.LongType()), T.StructField("dst", T.LongType())])
+    pts = core.select("cell", "cx", "cy", "id", "x", "y")
+    tile_key = _pack(F.floor(F.col("cx") / 8), F.floor(F.col("cy") / 8))
+    q = open_pairs.join(pts.withColumnRenamed("cell", "src"), "src").withColumn("key", tile_key)
+    c = (open_pairs.join(pts.select(F.col("cell").alias("src"), F.col("cx").alias("scx"), F.col("cy").alias("scy"))
+                         .distinct(), "src")
+         .join(pts.withColumnRenamed("cell", "dst").drop("cx", "cy"), "dst")
+         .withColumn("key", _pack(F.floor(F.col("scx") / 8), F.floor(F.col("scy") / 8))))
+    checked = chunked_cogroup(q.select("key", "src", "dst", "id", "x", "y"),
+                              c.select("key", "src", "dst", "id", "x", "y"),
+                              "key", link_fn, link_schema, "id", "id", block_rows).distinct()
+    return certain.unionByName(checked).distinct()
+
+
 def _d(lpdf, rpdf):
     lx, ly = lpdf["x"].to_numpy()[:, None], lpdf["y"].to_numpy()[:, None]
     rx, ry = rpdf["x"].to_numpy()[None, :], rpdf["y"].to_numpy()[None, :]
@@ -99,18 +185,8 @@ def dbscan(points: DataFrame, eps: float, min_points: int, *, x: str = "x", y: s
     core = cut_lineage(dense.select("id", "x", "y", "cx", "cy", "cell").unionByName(
         sparse.join(sparse_core, "id", "left_semi").select("id", "x", "y", "cx", "cy", "cell")))
 
-    # 2. links between neighbouring core cells
-    def link_fn(lpdf, rpdf):
-        lc, rc = lpdf["cell"].to_numpy(), rpdf["cell"].to_numpy()
-        hit = (_d(lpdf, rpdf) <= eps) & (lc[:, None] < rc[None, :])
-        qi, ci = np.nonzero(hit)
-        pairs = np.unique(np.stack([lc[qi], rc[ci]], axis=1), axis=0) if len(qi) else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"src": pairs[:, 0].astype(np.int64), "dst": pairs[:, 1].astype(np.int64)})
-
-    link_schema = T.StructType([T.StructField("src", T.LongType()), T.StructField("dst", T.LongType())])
-    core_cand = _candidates(core, tile).select("key", "id", "x", "y", "cell")
-    links = chunked_cogroup(_route(core, tile).select("key", "id", "x", "y", "cell"),
-                            core_cand, "key", link_fn, link_schema, "id", "id", block_rows).distinct()
+    # 2. links between neighbouring core cells (exact, no quadratic step for crowded cells)
+    links = _core_cell_links(core, eps, side_of(eps), block_rows)
 
     # 3. clusters = components of the core-cell graph; id = smallest core id
     core_cells = core.select(F.col("cell").alias("id")).distinct()
