@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_bounded
+from ..session import broadcast_if_bounded, cut_lineage
 from .stats import frequent_items
 
 
@@ -43,7 +43,8 @@ def frequent_itemsets(baskets: DataFrame, min_count: int, items: str = "items",
     (minCount - 0.5) / n because the count threshold is a ceiling.
     """
     from pyspark.ml.fpm import FPGrowth
-    data = baskets.select(F.array_distinct(items).alias("items"))
+    # written once: the count and FP-growth's passes read the same table
+    data = cut_lineage(baskets.select(F.array_distinct(items).alias("items")))
     n = data.count()
     fp = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / max(n, 1), minConfidence=0.0)
     if num_partitions:
