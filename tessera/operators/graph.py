@@ -159,15 +159,22 @@ def _canon_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
               .filter(F.col("a") != F.col("b")).distinct())
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def _fingerprint(pairs: DataFrame) -> tuple:
+    """Row count and order-free hash sum of a pair table, in one pass."""
+    return tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Undirected components; component id = smallest vertex id in it.
 
     Alternates the large-star and small-star rewrites (Kiveris et al., 2014):
     O(log^2 n) rounds, every round a few aggregates and joins, no vertex ever
-    gathers its neighbour list.  Stops when a round leaves the edge set as it was.
+    gathers its neighbour list.  Runs until a round leaves the edge set as it
+    was (same count and hash sum); there is no limit on the rounds.
     """
     cur = cut_lineage(_canon_pairs(edges, "src", "dst"))
-    for _ in range(max_rounds):
+    state = _fingerprint(cur)
+    while True:
         both = cur.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             cur.select(F.col("b").alias("u"), F.col("a").alias("v")))
         # large star: connect every larger neighbour of u to the minimum of u's closed neighbourhood
@@ -179,12 +186,9 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         sm = sb.groupBy("u").agg(F.min("v").alias("m"))
         small = sb.join(sm, "u").select("v", "m").unionByName(sm.select(F.col("u").alias("v"), "m"))
         nxt = cut_lineage(_canon_pairs(small, "v", "m"))
-        # one job: pairs present on one side only
-        changed = (nxt.withColumn("_n", F.lit(1)).join(cur.withColumn("_c", F.lit(1)), ["a", "b"], "full_outer")
-                   .filter(F.col("_n").isNull() | F.col("_c").isNull()).limit(1).count())
         release(cur)
-        cur = nxt
-        if changed == 0:
+        cur, before, state = nxt, state, _fingerprint(nxt)
+        if state == before:
             break
     root = cur.select(F.col("b").alias("id"), F.col("a").alias("c")).unionByName(
         cur.select(F.col("a").alias("id"), F.col("a").alias("c"))).groupBy("id").agg(F.min("c").alias("c"))
