@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import near_dedup, quality_rules
+from . import byte_bpe, mixing, near_dedup, quality_rules
 
 _MODULES = {
+    "op6_mixing": (mixing.op6_mixing, mixing.ORACLE_SQL),
+    "op8_byte_bpe": (byte_bpe.op8_byte_bpe, byte_bpe.ORACLE_SQL),
     "op9_quality_rules": (quality_rules.op9_quality_rules, quality_rules.ORACLE_SQL),
     "op10_near_dedup": (near_dedup.op10_near_dedup, near_dedup.ORACLE_SQL),
 }
