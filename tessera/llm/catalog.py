@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, mixing, near_dedup, quality_rules
+from . import byte_bpe, lm_score, mixing, near_dedup, quality_rules, sharding
 
 _MODULES = {
+    "op1_lm_score": (lm_score.op1_lm_score, lm_score.ORACLE_SQL),
+    "op3_sharding": (sharding.op3_sharding, sharding.ORACLE_SQL),
     "op6_mixing": (mixing.op6_mixing, mixing.ORACLE_SQL),
     "op8_byte_bpe": (byte_bpe.op8_byte_bpe, byte_bpe.ORACLE_SQL),
     "op9_quality_rules": (quality_rules.op9_quality_rules, quality_rules.ORACLE_SQL),
