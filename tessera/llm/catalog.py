@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, lm_score, mixing, near_dedup, quality_rules, sharding
+from . import (byte_bpe, language_id, lm_score, main_text, mixing, near_dedup, quality_rules, sharding, toxicity,
+               vector_dedup)
 
 _MODULES = {
     "op1_lm_score": (lm_score.op1_lm_score, lm_score.ORACLE_SQL),
+    "op2_language_id": (language_id.op2_language_id, language_id.ORACLE_SQL),
     "op3_sharding": (sharding.op3_sharding, sharding.ORACLE_SQL),
+    "op4_main_text": (main_text.op4_main_text, main_text.ORACLE_SQL),
+    "op5_vector_dedup": (vector_dedup.op5_vector_dedup, vector_dedup.ORACLE_SQL),
     "op6_mixing": (mixing.op6_mixing, mixing.ORACLE_SQL),
+    "op7_toxicity": (toxicity.op7_toxicity, toxicity.ORACLE_SQL),
     "op8_byte_bpe": (byte_bpe.op8_byte_bpe, byte_bpe.ORACLE_SQL),
     "op9_quality_rules": (quality_rules.op9_quality_rules, quality_rules.ORACLE_SQL),
     "op10_near_dedup": (near_dedup.op10_near_dedup, near_dedup.ORACLE_SQL),
