@@ -34,7 +34,6 @@ from pyspark.sql import types as T
 from ..session import DEFAULT_BROADCAST_BYTES
 
 _ROUND = 9          # ties are broken on score rounded to 9 digits, then by id
-_MARGIN = 8         # extra candidates re-scored exactly per query
 
 
 def _matrix(series: pd.Series) -> np.ndarray:
@@ -45,44 +44,68 @@ def _matrix(series: pd.Series) -> np.ndarray:
 
 def _score_block(Q, qids, Tm, tids, k, metric, exclude_self, max_distance, min_positive,
                  keep=None):
-    """Best ``keep or k`` candidates per query row: (row index, cand index, value)."""
+    """Best ``keep or k`` candidates per query row: (row index, cand index, value).
+
+    One matrix product gives approximate scores; every candidate whose
+    approximate score lies within the product's rounding error (and the
+    tie rounding) of the k-th is scored exactly, so the result, ties by
+    id included, is the one of scoring every pair exactly.  Euclidean
+    vectors are centred on the block's mean first, which keeps the error
+    small for data far from the origin.
+    """
     nq, nt = Q.shape[0], Tm.shape[0]
     if nq == 0 or nt == 0:
         return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
     want = keep if keep is not None else k
+    unit = 4.0 * (Q.shape[1] + 4) * np.finfo(np.float64).eps
+    tie = 2.0 * 10.0 ** -_ROUND
     if metric == "l2":
-        approx = (Q * Q).sum(1)[:, None] + (Tm * Tm).sum(1)[None, :] - 2.0 * (Q @ Tm.T)
+        mid = Tm.mean(0)
+        q0, t0 = Q - mid, Tm - mid
+        qq, tt = (q0 * q0).sum(1), (t0 * t0).sum(1)
+        # centring rounds each coordinate relative to its size before it
+        shift = unit * (np.abs(Q).max(initial=0.0) + np.abs(Tm).max(initial=0.0) + np.abs(mid).max(initial=0.0))
+        big = np.sqrt(qq[:, None].max() if nq else 0.0) + np.sqrt(tt.max())
+        error = unit * (qq + tt.max()) + 4 * shift * (big + shift) * Q.shape[1]
+        approx = qq[:, None] + tt[None, :] - 2.0 * (q0 @ t0.T)
     else:
+        error = unit * (np.abs(Q).sum(1) * np.abs(Tm).max(initial=0.0))
         approx = -(Q @ Tm.T)
     if exclude_self:
         approx = np.where(qids[:, None] == tids[None, :], np.inf, approx)
-    kk = min(nt, want + _MARGIN)
-    if kk < nt:
-        cand = np.argpartition(approx, kk - 1, axis=1)[:, :kk]
+    # possible copies of the query do not count towards the k-th when zero distances are left out
+    counted = np.where(approx <= 2 * error[:, None], np.inf, approx) if metric == "l2" and min_positive else approx
+    if want < nt:
+        kth = np.partition(counted, want - 1, axis=1)[:, want - 1]
     else:
-        cand = np.tile(np.arange(nt), (nq, 1))
-    # exact re-score of the candidates
+        kth = np.full(nq, np.inf)
     if metric == "l2":
-        diff = Q[:, None, :] - Tm[cand]
-        val = np.sqrt((diff * diff).sum(-1))
+        limit = (np.sqrt(np.maximum(kth + error, 0.0)) + tie) ** 2 + error
     else:
-        val = np.einsum("qd,qkd->qk", Q, Tm[cand])
-    bad = ~np.isfinite(np.take_along_axis(approx, cand, 1))
+        limit = kth + 2 * error + tie
+    rows, cols = np.nonzero((approx <= limit[:, None]) & np.isfinite(approx))
+    val = np.empty(len(rows))
+    step = max(1, (1 << 22) // max(1, Q.shape[1]))
+    for s in range(0, len(rows), step):
+        x, y = Q[rows[s:s + step]], Tm[cols[s:s + step]]
+        if metric == "l2":
+            d = x - y
+            val[s:s + step] = np.sqrt((d * d).sum(1))
+        else:
+            val[s:s + step] = (x * y).sum(1)
+    ok = np.ones(len(rows), bool)
     if metric == "l2":
         if max_distance is not None:
-            bad |= val > max_distance
+            ok &= val <= max_distance
         if min_positive:
-            bad |= val <= 0.0
-        key = np.round(val, _ROUND)
-    else:
-        key = np.round(-val, _ROUND)
-    key = np.where(bad, np.inf, key)
-    order = np.lexsort((tids[cand], key), axis=-1)[:, :want]
-    rows = np.repeat(np.arange(nq), order.shape[1])
-    picked = np.take_along_axis(cand, order, 1).ravel()
-    vals = np.take_along_axis(val, order, 1).ravel()
-    ok = np.isfinite(np.take_along_axis(key, order, 1).ravel())
-    return rows[ok], picked[ok], vals[ok]
+            ok &= val > 0.0
+    rows, cols, val = rows[ok], cols[ok], val[ok]
+    key = np.round(val if metric == "l2" else -val, _ROUND)
+    order = np.lexsort((tids[cols], key, rows))
+    rows, cols, val = rows[order], cols[order], val[order]
+    rank = np.arange(len(rows)) - np.searchsorted(rows, rows, "left")
+    best = rank < want
+    return rows[best], cols[best], val[best]
 
 
 def _out_schema(qid_type, tid_type, aux_fields, value_name):
@@ -97,13 +120,13 @@ def top_k(query: DataFrame, cand: DataFrame, k: int, *, qid: str = "id", tid: st
           max_distance: float | None = None, min_positive: bool = False,
           pivots: int = 0, tau: float | None = None, block_rows: int = 4096,
           broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, seed: int = 7,
-          chunk_by_id: int | None = None, chunk_quota: float | None = None,
+          chunk_by_id: int | None = None, chunk_quota: tuple[int, int] | None = None,
           force_blocked: bool = False) -> DataFrame:
     """Long-form top-k: ``qid, tid, <distance|score>, rank, aux...``.
 
     ``chunk_by_id`` / ``chunk_quota`` give the per-block quota mode used by
     approximate recommendation: candidates fall in blocks ``tid mod b`` and
-    each block keeps only ``ceil(quota * block size)`` per query before the
+    with quota (n, total) each block keeps ``ceil(n * block size / total)`` per query before the
     final top-k.
     """
     if metric not in ("l2", "dot"):
@@ -301,8 +324,8 @@ def _blocked_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed,
         tids = cpdf["_tid"].to_numpy()
         keep = None
         if chunk_quota is not None:
-            keep = max(1, int(math.ceil(round(chunk_quota * len(cpdf), 9))))
-            keep = min(keep, len(cpdf))
+            n, total = chunk_quota
+            keep = max(1, -(-n * len(cpdf) // max(total, 1)))
         r, ci, v = _score_block(Q, qids, Tm, tids, keep=keep, **opts)
         out = {"qid": qids[r], "tid": tids[ci], names[2]: v}
         for a in aux_names:

@@ -248,8 +248,7 @@ def cell_clusters(points: DataFrame, eps: float, min_points: int, **kw) -> DataF
 
 
 # D4 ---------------------------------------------------------------------------
-def even_split(points: DataFrame, eps: float, max_points: int, *, x: str = "x", y: str = "y",
-               max_depth: int = 40) -> DataFrame:
+def even_split(points: DataFrame, eps: float, max_points: int, *, x: str = "x", y: str = "y") -> DataFrame:
     """Count-balanced rectangles over cells of side 2*eps.
 
     Start from the bounding box of occupied cells; while a rectangle holds
@@ -265,10 +264,10 @@ def even_split(points: DataFrame, eps: float, max_points: int, *, x: str = "x",
     bbox = cells.agg(F.min("cx").alias("x1"), F.min("cy").alias("y1"),
                      (F.max("cx") + 1).alias("x2"), (F.max("cy") + 1).alias("y2"), F.sum("n").alias("n"))
     regions = bbox.select(F.lit("r").alias("region"), "x1", "y1", "x2", "y2", "n")
-    from ..session import cut_lineage
+    from ..session import cut_lineage, release
     regions = cut_lineage(regions)
     cells = cut_lineage(cells)
-    for _ in range(max_depth):
+    while True:
         active = regions.filter((F.col("n") > max_points) &
                                 (((F.col("x2") - F.col("x1")) > 2) | ((F.col("y2") - F.col("y1")) > 2)))
         if active.limit(1).count() == 0:
@@ -302,9 +301,10 @@ def even_split(points: DataFrame, eps: float, max_points: int, *, x: str = "x",
         # relabel cells of split regions and rebuild region rectangles
         cj = cells.join(best, "region", "left")
         side_lo = F.when(F.col("axis") == 0, F.col("cx") < F.col("line")).otherwise(F.col("cy") < F.col("line"))
-        cells = cut_lineage(cj.withColumn("region", F.when(F.col("line").isNull(), F.col("region"))
+        old_cells, cells = cells, cut_lineage(cj.withColumn("region", F.when(F.col("line").isNull(), F.col("region"))
                                           .otherwise(F.concat("region", F.when(side_lo, F.lit("0")).otherwise(F.lit("1")))))
                             .drop("axis", "line"))
+        release(old_cells)
         rj = regions.join(best, "region", "left")
         keep = rj.filter(F.col("line").isNull()).select("region", "x1", "y1", "x2", "y2", "n")
         sp = rj.filter(F.col("line").isNotNull())
@@ -316,7 +316,8 @@ def even_split(points: DataFrame, eps: float, max_points: int, *, x: str = "x",
                             F.when(F.col("axis") == 1, F.col("line")).otherwise(F.col("y1")).alias("y1"), "x2", "y2")
         counts = cells.groupBy("region").agg(F.sum("n").alias("n"))
         parts = lo_part.unionByName(hi_part).join(counts, "region", "left").fillna(0, ["n"])
-        regions = cut_lineage(keep.unionByName(parts))
+        old_regions, regions = regions, cut_lineage(keep.unionByName(parts))
+        release(old_regions)
     return regions.filter(F.col("n") > 0).select(
         "region", (F.col("x1") * size).alias("x1"), (F.col("y1") * size).alias("y1"),
         (F.col("x2") * size).alias("x2"), (F.col("y2") * size).alias("y2"), F.col("n").cast("long").alias("n"))

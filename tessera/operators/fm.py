@@ -76,8 +76,8 @@ def _batch_grad(X, y, theta, n, k, task, lo, hi):
     S = X @ V
     p = w0 + X @ w + 0.5 * ((S * S) - (X * X) @ (V * V)).sum(1)
     if task == 0:
-        mult = p - y
         pc = np.clip(p, lo, hi)
+        mult = pc - y
         loss = ((pc - y) ** 2).sum()
     else:
         z = y * p

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 
 def _vec(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
+    """Feature vector; a null or NaN feature is an error, no row is left out."""
     from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="error").transform(df)
 
 
 def boosted_multiclass(train: DataFrame, cols: list[str], label: str = "label", eta: float = 0.8,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import DEFAULT_BROADCAST_BYTES
 from . import blocks
-from .stats import label_histogram, loglog_tau
+from .stats import invalid_label_count, label_histogram, loglog_tau
 from .features import unit_hash
 
 
@@ -72,6 +72,9 @@ def knn_classify(query: DataFrame, train: DataFrame, p: KNNParams, num_classes:
     """Votes per class (weight or 1) among the k neighbours; prediction is
     the class with most votes (ties -> smallest class); probability = votes /
     total over classes 0..n-1.  Labels must be class indices (A4 checks)."""
+    bad = invalid_label_count(train, p.label_col, p.weight_col).first()["invalid"]
+    if bad:
+        raise ValueError(f"{bad} training rows have a label that is no class index")
     if num_classes is None:
         h = label_histogram(train, p.label_col, p.weight_col)
         num_classes = int(h.agg(F.max("cls")).first()[0]) + 1
@@ -88,7 +91,7 @@ def knn_classify(query: DataFrame, train: DataFrame, p: KNNParams, num_classes:
         F.sum("votes").alias("_total"),
         F.map_from_entries(F.collect_list(F.struct("cls", "votes"))).alias("_v"))
     prob = F.transform(F.sequence(F.lit(0), F.lit(num_classes - 1)),
-                       lambda i: F.coalesce(F.col("_v")[i], F.lit(0.0)) / F.col("_total"))
+                       lambda i: F.coalesce(F.col("_v")[i], F.lit(0.0)) / F.nullif(F.col("_total"), F.lit(0.0)))
     per = per.select(p.id_col, "prediction", prob.alias("probability"),
                      F.transform(F.sequence(F.lit(0), F.lit(num_classes - 1)),
                                  lambda i: F.coalesce(F.col("_v")[i], F.lit(0.0))).alias("raw"))

@@ -11,11 +11,6 @@ from ..session import DEFAULT_BROADCAST_BYTES
 from . import blocks
 
 
-def quota_ratio(num: int, dst_count: int) -> float:
-    """n / |dst| rounded to 1e-6 (R3).  Kept >= one candidate per block later."""
-    return round(num * 1_000_000.0 / max(dst_count, 1)) / 1_000_000.0
-
-
 def recommend_for_all(src: DataFrame, dst: DataFrame, num: int, *, src_id: str = "id",
                       dst_id: str = "id", features: str = "features", approximate: bool = False,
                       block_size: int = 4096, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
@@ -23,13 +18,13 @@ def recommend_for_all(src: DataFrame, dst: DataFrame, num: int, *, src_id: str =
     """Long form ``src, dst, rating, rank``: the ``num`` best dst rows per src row
     by dot product (R1 / R2).  With ``approximate`` (R3) dst falls in blocks
     ``id mod b`` (b = ceil(|dst| / block_size)) and each block keeps only
-    ``ceil(ratio * block size)`` candidates per src before the final top-N."""
+    ``ceil(num * block size / |dst|)`` candidates per src before the final top-N."""
     if approximate:
         n_dst = dst.count()
         b = max(1, math.ceil(n_dst / block_size))
         res = blocks.top_k(src, dst, num, qid=src_id, tid=dst_id, qvec=features, tvec=features,
                            metric="dot", block_rows=block_size, chunk_by_id=b,
-                           chunk_quota=quota_ratio(num, n_dst))
+                           chunk_quota=(num, n_dst))
     else:
         res = blocks.top_k(src, dst, num, qid=src_id, tid=dst_id, qvec=features, tvec=features,
                            metric="dot", block_rows=block_size, broadcast_bytes=broadcast_bytes,

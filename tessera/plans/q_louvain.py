@@ -114,9 +114,9 @@ def g13_louvain_levels(spark, sf_dir):
     base = scratch_path(spark, "louvain_levels")
 
     def save(level, q, state, edges):  # S11: per-level snapshots
-        write_levels(state, edges, base, level)
+        write_levels(state, edges, base, level, q)
 
-    levels, assign = L.louvain(v, g, min_progress=50, progress_counter=2, on_level=save, max_iter=40)
+    levels, assign = L.louvain(v, g, min_progress=50, progress_counter=2, on_level=save)
     n_comm = assign.select("community").distinct().count()
     rows = [(lv, float(q), p, n_comm) for lv, q, p in levels]  # one row per level
     return spark.createDataFrame(rows, "level int, q double, passes int, communities long")

@@ -61,12 +61,12 @@ def r1_nested_recommendations(spark, sf_dir):
 
 @register("r3_approx_top_n_block_quota", _SCORES_SQL + f""",
 n as (select count(*) as total from v),
-p as (select round({NUM} * 1000000.0 / total) / 1000000.0 as ratio,
+p as (select total,
              cast(ceil(total / {BLOCK}.0) as bigint) as nb from n),
 blk as (select s.*, dst % p.nb as blk from s, p),
 bsz as (select blk, count(*) / (select total from n) as bsize from blk group by blk),
 q as (select blk.*, row_number() over (partition by src, blk.blk order by round(rating, 9) desc, dst) as br,
-             ceil(round(p.ratio * bsz.bsize, 9)) as quota
+             ({NUM} * bsz.bsize + p.total - 1) // p.total as quota
       from blk join bsz using (blk), p)
 select src, dst, round(rating, 6) as rating, rank from (
   select *, row_number() over (partition by src order by round(rating, 9) desc, dst) as rank from q where br <= quota)

@@ -121,8 +121,11 @@ def load_pipeline(path: str):
     return PipelineModel.load(path)
 
 
-def write_levels(vertices: DataFrame, edges: DataFrame, base: str, level: int) -> None:
-    """Per-level graph snapshot, overwriting the level's folders."""
+def write_levels(vertices: DataFrame, edges: DataFrame, base: str, level: int, q: float | None = None) -> None:
+    """Per-level graph snapshot, overwriting the level's folders (S11); with ``q`` also the level's (level, q) row."""
+    if q is not None:
+        vertices.sparkSession.createDataFrame([(level, float(q))], "level int, q double") \
+                .coalesce(1).write.mode("overwrite").parquet(f"{base}/level_{level}_q")
     vertices.write.mode("overwrite").parquet(f"{base}/level_{level}_vertices")
     edges.write.mode("overwrite").parquet(f"{base}/level_{level}_edges")
 

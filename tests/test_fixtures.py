@@ -11,35 +11,35 @@ from tessera.operators import graph as G
 from tessera.operators import stats as A
 from tessera.sources import files as src
 
-LETTER_EDGES = [(1, 2, 7.0), (1, 4, 5.0), (2, 3, 8.0), (2, 4, 9.0), (2, 5, 7.0), (3, 5, 5.0),
-                (4, 5, 15.0), (4, 6, 6.0), (5, 6, 8.0), (5, 7, 9.0), (6, 7, 11.0)]
+# three triangles in a row and a tail
+LETTER_EDGES = [(1, 2, 4.0), (1, 3, 1.0), (2, 3, 2.0), (2, 4, 5.0), (3, 4, 9.0), (3, 5, 12.0), (4, 5, 3.0), (5, 6, 2.0)]
 
 
 @pytest.fixture(scope="module")
 def letters(spark):
-    v = spark.createDataFrame([(i, chr(64 + i)) for i in range(1, 8)], "id long, name string")
+    v = spark.createDataFrame([(i, chr(64 + i)) for i in range(1, 7)], "id long, name string")
     e = spark.createDataFrame(LETTER_EDGES, "src long, dst long, weight double")
     return v, G.to_undirected(e, extra=["weight"])
 
 
 def test_precision_by_threshold(spark):
-    rows = [(0.1, 0.0), (0.1, 1.0), (0.4, 0.0), (0.6, 0.0), (0.6, 1.0), (0.6, 1.0), (0.8, 1.0)]
+    rows = [(0.9, 1.0), (0.9, 0.0), (0.7, 1.0), (0.5, 0.0), (0.5, 0.0), (0.2, 1.0)]
     df = spark.createDataFrame(rows, "score double, label double")
     got = {r["threshold"]: r["precision"] for r in ev.precision_by_threshold(df).collect()}
-    assert got == pytest.approx({0.8: 1.0, 0.6: 3 / 4, 0.4: 3 / 5, 0.1: 4 / 7})
+    assert got == pytest.approx({0.9: 1 / 2, 0.7: 2 / 3, 0.5: 2 / 5, 0.2: 1 / 2})
 
 
 def test_people_predicate(spark):
-    people = spark.createDataFrame([(1, "Alice", 28), (2, "Bob", 27), (3, "Charlie", 65), (4, "David", 42),
-                                    (5, "Ed", 55), (6, "Fran", 50)], "id long, name string, age int")
+    people = spark.createDataFrame([(1, "Ana", 19), (2, "Bela", 44), (3, "Cyr", 30), (4, "Dov", 31)],
+                                   "id long, name string, age int")
     got = sorted((r["name"], r["age"]) for r in people.filter("age > 30").select("name", "age").collect())
-    assert got == [("Charlie", 65), ("David", 42), ("Ed", 55), ("Fran", 50)]
+    assert got == [("Bela", 44), ("Dov", 31)]
 
 
 def test_shortest_paths_letters(spark, letters):
     v, e = letters
-    got = {r["id"]: (r["distance"], r["predecessor"]) for r in G.shortest_paths(v, e, 3).collect()}
-    assert got == {1: (15, 2), 2: (8, 3), 3: (0, None), 4: (17, 2), 5: (5, 3), 6: (13, 5), 7: (14, 5)}
+    got = {r["id"]: (r["distance"], r["predecessor"]) for r in G.shortest_paths(v, e, 1).collect()}
+    assert got == {1: (0, None), 2: (3, 3), 3: (1, 1), 4: (8, 2), 5: (11, 4), 6: (13, 5)}
 
 
 def test_unreachable_is_null(spark):
@@ -52,12 +52,11 @@ def test_unreachable_is_null(spark):
 def test_triangles_and_clustering(spark, letters):
     v, e = letters
     loc = {r["id"]: (r["degree"], r["triangles"], r["coefficient"]) for r in G.local_clustering(v, e).collect()}
-    want = {1: (2, 1, 1.0), 2: (4, 3, 0.5), 3: (2, 1, 1.0), 4: (4, 3, 0.5), 5: (5, 4, 0.4),
-            6: (3, 2, 2 / 3), 7: (2, 1, 1.0)}
+    want = {1: (2, 1, 1.0), 2: (3, 2, 2 / 3), 3: (4, 3, 0.5), 4: (3, 2, 2 / 3), 5: (3, 1, 1 / 3), 6: (1, 0, 0.0)}
     for k, (d, t, c) in want.items():
         assert loc[k][0] == d and loc[k][1] == t and loc[k][2] == pytest.approx(c)
     gl = G.global_clustering(v, e).first()
-    assert gl["coefficient"] == pytest.approx(15 / 28)
+    assert gl["coefficient"] == pytest.approx(9 / 16)
 
 
 def test_label_propagation_isolated_keeps_label(spark):
@@ -155,10 +154,28 @@ def test_onehot_label(spark):
     assert out[1]["label"] == 0 and out[1]["onehot"] == [1, 0, 0, 0]
 
 
-def test_grid_corner_floor():
-    import math as m
-    # floor keeps an exact negative multiple in its own cell
-    assert m.floor(-0.06 / 0.06) * 0.06 == -0.06
+def test_top_k_exact_with_copies_and_offset(spark):
+    from tessera.operators import blocks
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(200)], "id long, v array<double>")
+    for forced in (False, True):
+        got = blocks.top_k(same.limit(1), same, 5, qid="id", tid="id", qvec="v", tvec="v", metric="l2",
+                           block_rows=64, force_blocked=forced)
+        assert sorted(r["tid"] for r in got.collect()) == [0, 1, 2, 3, 4]
+    far = [(i, [1.7e9 + i * 0.5, 1.7e9 - i * 0.25]) for i in range(120)]
+    f = spark.createDataFrame(far, "id long, v array<double>")
+    got = {(r["qid"], r["rank"]): r["tid"] for r in blocks.top_k(f, f, 2, qid="id", tid="id", qvec="v", tvec="v",
+                                                                 metric="l2", exclude_self=True).collect()}
+    assert all(got[i, 1] == i - 1 and got[i, 2] == i + 1 for i in range(1, 119))
+    copies = spark.createDataFrame([(i, [0.0]) for i in range(30)] + [(30, [3.0]), (31, [5.0])], "id long, v array<double>")
+    near = blocks.top_k(copies, copies, 1, qid="id", tid="id", qvec="v", tvec="v", metric="l2", min_positive=True).collect()
+    assert len(near) == 32 and {r["tid"] for r in near if r["qid"] < 30} == {30}
+
+
+def test_classifier_rejects_labels_that_are_no_class(spark):
+    from tessera.operators.knn import KNNParams, knn_classify
+    t = spark.createDataFrame([(1, [0.0], 1.5), (2, [1.0], 0.0)], "id long, features array<double>, label double")
+    with pytest.raises(ValueError):
+        knn_classify(t, t, KNNParams(k=1, label_col="label"))
 
 
 def test_class_count_metadata(spark):
