@@ -10,10 +10,11 @@ and in none of 10 with probability 4e-5.
 
 No node emits all its pairs.  First every member is compared with one pivot
 of its node, and the confirmed links are closed to components.  In nodes that
-still span several components every two members of different components are
-then compared by their sketches (the minwise tokens of all trees), in cells of
-at most two blocks of ``BLOCK`` members, and only pairs whose sketches agree go
-on to the full sets.  So nodes of any size are compared exhaustively, but for
+still span several components, each member is confirmed against the ``NEAREST``
+members of other components by sketch (16 bits of each of ``SKETCH`` minwise
+values), and at last every two members that are still in different components
+are compared by sketch, in cells of at most two blocks of ``BLOCK`` members,
+and pairs whose sketches agree go on to the full sets.  So nodes of any size are compared exhaustively, but for
 pairs already inside one component, which cannot change the result.  Equal
 sets are reduced to one representative beforehand.
 
@@ -33,13 +34,15 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
 from ..session import cut_lineage, release
-from .common import documents, id_text
+from .common import documents, gather, id_text
 from .words import Chunk, Spans, combine, mix, per_row_sum, row_of, text_chunks
 
 TREES, LEVELS, FIRST, LEAF, BLOCK = 10, 4, 2, 64, 512
+SKETCH, NEAREST = 256, 3
+FILTER_BITS = 1 << 26    # of the bitmap of wanted documents, 8 MB whatever the input
 _rng = np.random.RandomState(7)
-_XOR = _rng.randint(0, 1 << 63, (TREES * LEVELS,), dtype=np.uint64) * np.uint64(2)
-_MUL = _rng.randint(0, 1 << 63, (TREES * LEVELS,), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_XOR = _rng.randint(0, 1 << 63, (TREES * LEVELS + SKETCH,), dtype=np.uint64) * np.uint64(2)
+_MUL = _rng.randint(0, 1 << 63, (TREES * LEVELS + SKETCH,), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_sets(ch: Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,16 +87,21 @@ def _sketch(k: int):
                 n = np.diff(first)
                 full = np.flatnonzero(n)
                 sig = np.zeros((ch.rows, TREES * LEVELS), np.uint64)
+                low = np.zeros((ch.rows, SKETCH), np.uint16)
                 with np.errstate(over="ignore"):
-                    for i in range(TREES * LEVELS):
-                        if len(full):
-                            sig[full, i] = np.minimum.reduceat((s ^ _XOR[i]) * _MUL[i], first[full])
+                    for i in range(TREES * LEVELS + SKETCH if len(full) else 0):
+                        m = np.minimum.reduceat((s ^ _XOR[i]) * _MUL[i], first[full])
+                        if i < TREES * LEVELS:
+                            sig[full, i] = m
+                        else:
+                            low[full, i - TREES * LEVELS] = mix(m) & np.uint64(0xFFFF)
                     fa = per_row_sum(mix(s).view(np.int64), first)
                     fb = per_row_sum(mix(s ^ _XOR[0]).view(np.int64), first)
-                raw = sig.view(np.uint8).reshape(ch.rows, -1)
+                raw, short = (x.view(np.uint8).reshape(ch.rows, -1) for x in (sig, low))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(ch.first, ch.rows), pa.array(n.astype(np.int64)), pa.array(fa), pa.array(fb),
-                     pa.array([x.tobytes() for x in raw], pa.binary())], ["doc_id", "n_shingles", "fa", "fb", "sig"])
+                     pa.array([x.tobytes() for x in raw], pa.binary()), pa.array([x.tobytes() for x in short], pa.binary())],
+                    ["doc_id", "n_shingles", "fa", "fb", "path", "sig"])
     return run
 
 
@@ -117,7 +125,7 @@ def _alike(least: int):
     def run(batches):
         for b in batches:
             if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint64).reshape(b.num_rows, -1) for i in (2, 3))
+                x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(b.num_rows, -1) for i in (2, 3))
                 ok = pa.array((x == y).sum(1) >= least)
                 yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], ["a", "b"])
     return run
@@ -138,21 +146,26 @@ def _runs(batches):
         yield held
 
 
-def _cells(least: int):
-    """Pairs of a cell whose components differ and whose sketches agree; rows are sorted by cell."""
+def _cells(least: int, most: int | None):
+    """Pairs of a cell whose components differ and whose sketches agree, for each member the ``most`` most alike or all."""
     def run(batches):
         a, b, size = [], [], 0
         for t in _runs(batches):
             c, comp, block = (t.column(i).to_numpy() for i in (1, 2, 3))
-            sig = np.frombuffer(b"".join(t.column(4).to_pylist()), np.uint64).reshape(t.num_rows, -1)
+            sig = np.frombuffer(b"".join(t.column(4).to_pylist()), np.uint16).reshape(t.num_rows, -1)
             left = np.flatnonzero(block == block.min())
             right = np.flatnonzero(block == block.max())
-            for i in left:
-                o = right[comp[right] != comp[i]]
-                o = o[(sig[o] == sig[i]).sum(1) >= least]
-                a.append(np.full(len(o), c[i]))
-                b.append(c[o])
-                size += len(o)
+            sides = ((left, right), (right, left)) if most and block.min() != block.max() else ((left, right),)
+            for one, other in sides:
+                for i in one:
+                    o = other[comp[other] != comp[i]]
+                    same = (sig[o] == sig[i]).sum(1)
+                    near = np.flatnonzero(same >= least)
+                    if most and len(near) > most:
+                        near = near[np.argsort(-same[near], kind="stable")[:most]]
+                    a.append(np.full(len(near), c[i]))
+                    b.append(c[o[near]])
+                    size += len(near)
             if size > 10_000:
                 yield _pair_batch(a, b)
                 a, b, size = [], [], 0
@@ -166,9 +179,12 @@ def _pair_batch(a, b):
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
 
-def _sets(k: int):
+def _sets(k: int, wanted):
+    """Sorted shingles of the rows whose id may be wanted."""
     def run(batches):
         for b in batches:
+            mark = b.column(2).to_numpy()
+            b = b.filter(pa.array((wanted.value[mark >> 3] >> (mark & 7) & 1).astype(bool)))
             for ch in text_chunks(b.column(1)):
                 s, first = shingle_sets(ch, k)
                 yield pa.RecordBatch.from_arrays(
@@ -195,7 +211,7 @@ def _confirm(percent: int):
 def _tree_nodes(reps: DataFrame) -> DataFrame:
     """(node, c): members of every node with at least two documents, oversized nodes branched further."""
     rest = [f"t{d}" for d in range(FIRST, LEVELS)]
-    rows = reps.select("c", "sig").mapInArrow(_branch, "c long, node long, " + ", ".join(f"{t} long" for t in rest))
+    rows = reps.select("c", "path").mapInArrow(_branch, "c long, node long, " + ", ".join(f"{t} long" for t in rest))
     for i in range(len(rest) + 1):
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
         rows = rows.join(sizes, "node")
@@ -212,17 +228,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     """
     spark = docs.sparkSession
     base = id_text(docs)
-    sketch = cut_lineage(base.mapInArrow(_sketch(shingle), "doc_id long, n_shingles long, fa long, fb long, sig binary"))
+    sketch = cut_lineage(base.mapInArrow(_sketch(shingle), "doc_id long, n_shingles long, fa long, fb long, path binary, sig binary"))
     real = sketch.filter("n_shingles > 0 and doc_id is not null")
-    reps = cut_lineage(real.groupBy("fa", "fb", "n_shingles").agg(F.min(F.struct("doc_id", "sig")).alias("m"))
-                       .select("fa", "fb", "n_shingles", F.col("m.doc_id").alias("c"), F.col("m.sig").alias("sig")))
+    reps = cut_lineage(real.groupBy("fa", "fb", "n_shingles").agg(F.min(F.struct("doc_id", "path", "sig")).alias("m"))
+                       .select("fa", "fb", "n_shingles", F.col("m.doc_id").alias("c"), "m.path", "m.sig"))
     nodes = cut_lineage(_tree_nodes(reps))
     wanted = nodes.select("c").distinct()
-    sets = cut_lineage(base.join(wanted, base.doc_id == wanted.c, "left_semi").mapInArrow(_sets(shingle), "c long, s binary"))
+    # a bitmap of hashed ids spares most documents the way through the shuffle; the join then is exact
+    mark = F.pmod(F.xxhash64("c"), F.lit(FILTER_BITS))
+    bitmap = np.zeros(FILTER_BITS // 8, np.uint8)
+    # bucket k holds the numbers from (k - 1) * 32768 + 1 on, so numbers are counted from 1
+    parts = nodes.groupBy(F.bitmap_bucket_number(mark + 1).alias("k")) \
+                 .agg(F.bitmap_construct_agg(F.bitmap_bit_position(mark + 1)).alias("b"))
+    for k, b in parts.collect():
+        bitmap[(k - 1) * 4096:k * 4096] = np.frombuffer(b, np.uint8)
+    shared = spark.sparkContext.broadcast(bitmap)
+    found = base.filter("doc_id is not null").withColumn("mark", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))) \
+                .mapInArrow(_sets(shingle, shared), "c long, s binary")
+    sets = cut_lineage(found.join(wanted, "c", "left_semi").dropDuplicates(["c"]))
+    gather(spark)
     sigs = cut_lineage(reps.join(wanted, "c", "left_semi").select("c", "sig"))
-    # 40 tokens of a pair at similarity p agree 40 p times on average; 4.5 standard deviations below are let through
-    n, p = TREES * LEVELS, percent / 100
-    least = max(1, int(n * p - 4.5 * (n * p * (1 - p)) ** 0.5))
+    # the sketches of a pair at similarity p agree in SKETCH * p places on average; 3.9 standard deviations below are let through
+    n, p = SKETCH, percent / 100
+    least = max(1, int(n * p - 3.9 * (n * p * (1 - p)) ** 0.5))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         return cut_lineage(
@@ -241,26 +269,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     stars = stars.join(sigs.select(F.col("c").alias("a"), F.col("sig").alias("x")), "a") \
                  .join(sigs.select(F.col("c").alias("b"), F.col("sig").alias("y")), "b") \
                  .select("a", "b", "x", "y").mapInArrow(_alike(least), "a long, b long")
-    first = confirmed(stars)
-    comp = components(first)
-    # the rest of every node that spans several components, in cells
-    member = cut_lineage(nodes.join(comp, "c", "left").select("node", "c", F.coalesce("comp", "c").alias("comp")))
-    mixed = member.groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-                  .filter("lo <> hi").select("node", F.ceil(F.col("m") / BLOCK).alias("n"))
-    cells = member.join(mixed, "node").withColumn("i", F.pmod(F.xxhash64("c"), F.col("n"))) \
-                  .withColumn("j", F.explode(F.expr("sequence(0L, n - 1)"))) \
-                  .withColumn("cell", F.xxhash64("node", F.least("i", "j"), F.greatest("i", "j"))) \
-                  .join(sigs, "c").select("cell", "c", "comp", "i", "sig")
-    inner = cells.repartition("cell").sortWithinPartitions("cell") \
-                 .mapInArrow(_cells(least), "a long, b long").distinct()
-    second = confirmed(inner)
-    if second.limit(1).count():
-        release(comp)
-        comp = components(first.unionByName(second))
+    links = confirmed(stars)
+    comp = components(links)
+    gather(spark)
+    # the rest of every node that spans several components, in cells: first the most alike, then all
+    for most in (NEAREST, None):
+        member = cut_lineage(nodes.join(comp, "c", "left").select("node", "c", F.coalesce("comp", "c").alias("comp")))
+        mixed = member.groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
+                      .filter("lo <> hi").select("node", F.ceil(F.col("m") / BLOCK).alias("n"))
+        cells = member.join(mixed, "node").withColumn("i", F.pmod(F.xxhash64("c"), F.col("n"))) \
+                      .withColumn("j", F.explode(F.expr("sequence(0L, n - 1)"))) \
+                      .withColumn("cell", F.xxhash64("node", F.least("i", "j"), F.greatest("i", "j"))) \
+                      .join(sigs, "c").select("cell", "c", "comp", "i", "sig")
+        inner = cells.repartition("cell").sortWithinPartitions("cell") \
+                     .mapInArrow(_cells(least, most), "a long, b long").distinct()
+        more = confirmed(inner)
+        release(member)
+        if more.limit(1).count():
+            links = cut_lineage(links.unionByName(more))
+            release(comp)
+            comp = components(links)
+        gather(spark)
     out = real.join(reps.select("fa", "fb", "n_shingles", "c"), ["fa", "fb", "n_shingles"]).select("doc_id", "c")
     out = out.join(comp, "c", "left").groupBy("doc_id").agg(F.min(F.coalesce("comp", "c")).alias("component_id"))
     out = cut_lineage(out.filter("doc_id <> component_id"))
-    for t in (nodes, sets, sigs, member, first, second, comp, reps):
+    for t in (nodes, sets, sigs, links, comp, reps):
         release(t)
     return (sketch.select("doc_id", "n_shingles").join(out, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
