@@ -304,7 +304,6 @@ def even_split(points: DataFrame, eps: float, max_points: int, *, x: str = "x",
         old_cells, cells = cells, cut_lineage(cj.withColumn("region", F.when(F.col("line").isNull(), F.col("region"))
                                           .otherwise(F.concat("region", F.when(side_lo, F.lit("0")).otherwise(F.lit("1")))))
                             .drop("axis", "line"))
-        release(old_cells)
         rj = regions.join(best, "region", "left")
         keep = rj.filter(F.col("line").isNull()).select("region", "x1", "y1", "x2", "y2", "n")
         sp = rj.filter(F.col("line").isNotNull())
@@ -318,6 +317,7 @@ def even_split(points: DataFrame, eps: float, max_points: int, *, x: str = "x",
         parts = lo_part.unionByName(hi_part).join(counts, "region", "left").fillna(0, ["n"])
         old_regions, regions = regions, cut_lineage(keep.unionByName(parts))
         release(old_regions)
+        release(old_cells)
     return regions.filter(F.col("n") > 0).select(
         "region", (F.col("x1") * size).alias("x1"), (F.col("y1") * size).alias("y1"),
         (F.col("x2") * size).alias("x2"), (F.col("y2") * size).alias("y2"), F.col("n").cast("long").alias("n"))
