@@ -8,15 +8,16 @@ are candidates; every candidate link is confirmed on the full sets.  With
 similarity 0.8 and two levels a pair meets in one tree with probability 0.64
 and in none of 10 with probability 4e-5.
 
-No node emits all its pairs.  First every member is compared with one pivot
-of its node, and the confirmed links are closed to components.  In nodes that
-still span several components, each member is confirmed against the ``NEAREST``
-members of other components by sketch (16 bits of each of ``SKETCH`` minwise
-values), and at last every two members that are still in different components
-are compared by sketch, in cells of at most two blocks of ``BLOCK`` members,
-and pairs whose sketches agree go on to the full sets.  So nodes of any size are compared exhaustively, but for
-pairs already inside one component, which cannot change the result.  Equal
-sets are reduced to one representative beforehand.
+No node emits pairs.  First every member is compared with one pivot of its
+node, and the confirmed links are closed to components.  Nodes that still span
+several components are cut into cells of at most two blocks, each of about
+``BLOCK`` members and ``BLOCK_BYTES`` bytes of sets.  In a cell every two
+members of different components are compared by sketch (16 bits of each of
+``SKETCH`` minwise values); members with a partner are brought together with
+their full sets, and the cell confirms its candidates on these and returns a
+spanning forest of the links found.  So nodes of any size are compared
+exhaustively, but for pairs already inside one component, which cannot change
+the result.  Equal sets are reduced to one representative beforehand.
 
 Defined cases: null or empty texts and texts without a word have empty sets,
 ``n_shingles`` 0, and link with nothing; a text with fewer words than a
@@ -38,7 +39,8 @@ from .common import documents, gather, id_text
 from .words import Chunk, Spans, combine, mix, per_row_sum, row_of, text_chunks
 
 TREES, LEVELS, FIRST, LEAF, BLOCK = 10, 4, 2, 64, 512
-SKETCH, NEAREST = 256, 3
+SKETCH = 256
+BLOCK_BYTES = 16 << 20
 FILTER_BITS = 1 << 26    # of the bitmap of wanted documents, 8 MB whatever the input
 _rng = np.random.RandomState(7)
 _XOR = _rng.randint(0, 1 << 63, (TREES * LEVELS + SKETCH,), dtype=np.uint64) * np.uint64(2)
@@ -146,37 +148,68 @@ def _runs(batches):
         yield held
 
 
-def _cells(least: int, most: int | None):
-    """Pairs of a cell whose components differ and whose sketches agree, for each member the ``most`` most alike or all."""
+def _sides(block):
+    """The two blocks of a cell; both are the same in a cell of one block."""
+    return np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max()), block.min() == block.max()
+
+
+def _partners(least: int):
+    """The rows of a cell whose sketch agrees with that of a row of another component."""
     def run(batches):
-        a, b, size = [], [], 0
         for t in _runs(batches):
-            c, comp, block = (t.column(i).to_numpy() for i in (1, 2, 3))
+            comp = t.column(2).to_numpy()
             sig = np.frombuffer(b"".join(t.column(4).to_pylist()), np.uint16).reshape(t.num_rows, -1)
-            left = np.flatnonzero(block == block.min())
-            right = np.flatnonzero(block == block.max())
-            sides = ((left, right), (right, left)) if most and block.min() != block.max() else ((left, right),)
-            for one, other in sides:
-                for i in one:
-                    o = other[comp[other] != comp[i]]
-                    same = (sig[o] == sig[i]).sum(1)
-                    near = np.flatnonzero(same >= least)
-                    if most and len(near) > most:
-                        near = near[np.argsort(-same[near], kind="stable")[:most]]
-                    a.append(np.full(len(near), c[i]))
-                    b.append(c[o[near]])
-                    size += len(near)
-            if size > 10_000:
+            left, right, _ = _sides(t.column(3).to_numpy())
+            keep = np.zeros(t.num_rows, bool)
+            for i in left:
+                o = right[comp[right] != comp[i]]
+                near = o[(sig[o] == sig[i]).sum(1) >= least]
+                keep[near] = True
+                keep[i] |= len(near) > 0
+            yield from t.filter(pa.array(keep)).to_batches()
+    return run
+
+
+def _cell_links(least: int, percent: int):
+    """A spanning forest of the links of a cell between different components, confirmed on full sets."""
+    def run(batches):
+        for t in _runs(batches):
+            c, comp = t.column(1).to_numpy(), t.column(2).to_numpy()
+            left, right, same_block = _sides(t.column(3).to_numpy())
+            sig = np.frombuffer(b"".join(t.column(4).to_pylist()), np.uint16).reshape(t.num_rows, -1)
+            sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in t.column(5)]
+            n = np.array([len(x) for x in sets])
+            first = np.cumsum(n) - n
+            flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
+            mark = np.zeros(flat.max() + 1, bool)
+            lab = np.unique(comp, return_inverse=True)[1]
+            a, b = [], []
+            for i in left:
+                o = right[(lab[right] != lab[i]) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))]
+                o = o[o > i] if same_block else o
+                o = o[(sig[o] == sig[i]).sum(1) >= least]
+                if not len(o):
+                    continue
+                own = flat[first[i]:first[i] + n[i]]
+                mark[own] = True
+                begin = np.cumsum(n[o]) - n[o]
+                at = np.repeat(first[o] - begin, n[o]) + np.arange(n[o].sum())
+                inter = np.add.reduceat(mark[flat[at]].astype(np.int64), begin)
+                mark[own] = False
+                o = o[100 * inter >= percent * (n[i] + n[o] - inter)]
+                if len(o):
+                    new, one = np.unique(lab[o], return_index=True)
+                    a.append(np.full(len(one), c[i]))
+                    b.append(c[o[one]])
+                    lab[np.isin(lab, new)] = lab[i]
+            if a:
                 yield _pair_batch(a, b)
-                a, b, size = [], [], 0
-        if a:
-            yield _pair_batch(a, b)
     return run
 
 
 def _pair_batch(a, b):
     x, y = np.concatenate(a), np.concatenate(b)
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["src", "dst"])
 
 
 def _sets(k: int, wanted):
@@ -247,7 +280,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
                 .mapInArrow(_sets(shingle, shared), "c long, s binary")
     sets = cut_lineage(found.join(wanted, "c", "left_semi").dropDuplicates(["c"]))
     gather(spark)
-    sigs = cut_lineage(reps.join(wanted, "c", "left_semi").select("c", "sig"))
+    sigs = cut_lineage(reps.join(wanted, "c", "left_semi").select("c", "sig", "n_shingles"))
     # the sketches of a pair at similarity p agree in SKETCH * p places on average; 3.9 standard deviations below are let through
     n, p = SKETCH, percent / 100
     least = max(1, int(n * p - 3.9 * (n * p * (1 - p)) ** 0.5))
@@ -272,24 +305,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     links = confirmed(stars)
     comp = components(links)
     gather(spark)
-    # the rest of every node that spans several components, in cells: first the most alike, then all
-    for most in (NEAREST, None):
-        member = cut_lineage(nodes.join(comp, "c", "left").select("node", "c", F.coalesce("comp", "c").alias("comp")))
-        mixed = member.groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-                      .filter("lo <> hi").select("node", F.ceil(F.col("m") / BLOCK).alias("n"))
-        cells = member.join(mixed, "node").withColumn("i", F.pmod(F.xxhash64("c"), F.col("n"))) \
-                      .withColumn("j", F.explode(F.expr("sequence(0L, n - 1)"))) \
-                      .withColumn("cell", F.xxhash64("node", F.least("i", "j"), F.greatest("i", "j"))) \
-                      .join(sigs, "c").select("cell", "c", "comp", "i", "sig")
-        inner = cells.repartition("cell").sortWithinPartitions("cell") \
-                     .mapInArrow(_cells(least, most), "a long, b long").distinct()
-        more = confirmed(inner)
-        release(member)
-        if more.limit(1).count():
-            links = cut_lineage(links.unionByName(more))
-            release(comp)
-            comp = components(links)
-        gather(spark)
+    # the rest of every node that spans several components, in cells; blocks are bounded in members and in bytes of sets
+    member = cut_lineage(nodes.join(comp, "c", "left").join(sigs.select("c", "n_shingles"), "c")
+                         .select("node", "c", F.coalesce("comp", "c").alias("comp"), "n_shingles"))
+    mixed = member.groupBy("node").agg(F.count(F.lit(1)).alias("m"), (8 * F.sum("n_shingles")).alias("w"),
+                                       F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
+                  .filter("lo <> hi").select("node", F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("w") / BLOCK_BYTES)).alias("n"))
+    cells = member.join(mixed, "node").withColumn("i", F.pmod(F.xxhash64("c"), F.col("n"))) \
+                  .withColumn("j", F.explode(F.expr("sequence(0L, n - 1)"))) \
+                  .withColumn("cell", F.xxhash64("node", F.least("i", "j"), F.greatest("i", "j"))) \
+                  .join(sigs.select("c", "sig"), "c").select("cell", "c", "comp", "i", "sig")
+    live = cut_lineage(cells.repartition("cell").sortWithinPartitions("cell")
+                            .mapInArrow(_partners(least), "cell long, c long, comp long, i long, sig binary"))
+    release(member)
+    more = cut_lineage(live.join(sets, "c").select("cell", "c", "comp", "i", "sig", "s")
+                           .repartition("cell").sortWithinPartitions("cell")
+                           .mapInArrow(_cell_links(least, percent), "src long, dst long").distinct())
+    release(live)
+    if more.limit(1).count():
+        found_all = cut_lineage(links.unionByName(more))
+        release(links)
+        release(comp)
+        links = found_all
+        comp = components(links)
+    release(more)
+    gather(spark)
     out = real.join(reps.select("fa", "fb", "n_shingles", "c"), ["fa", "fb", "n_shingles"]).select("doc_id", "c")
     out = out.join(comp, "c", "left").groupBy("doc_id").agg(F.min(F.coalesce("comp", "c")).alias("component_id"))
     out = cut_lineage(out.filter("doc_id <> component_id"))

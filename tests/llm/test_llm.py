@@ -216,6 +216,31 @@ def test_near_dedup_brute_force(spark):
     assert near_dedup.near_duplicates(df.limit(0), 4, 80).count() == 0
 
 
+@pytest.mark.parametrize("block,block_bytes", [(512, 16 << 20), (4, 16 << 20), (512, 8192)])
+def test_near_dedup_cells(spark, monkeypatch, block, block_bytes):
+    """A crowd of texts around the least similarity, in cells of one block and of two."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", block_bytes)
+    r = np.random.RandomState(3)
+    base = [f"w{i}" for i in r.randint(0, 10**6, 200)]
+    texts = []
+    for d in range(40):
+        t = list(base)
+        for i in r.choice(len(t), r.randint(3, 10), replace=False):
+            t[i] = f"own{d}x{i}"
+        texts.append(t)
+    sets = [{tuple(w[i:i + 4]) for i in range(len(w) - 3)} for w in texts]
+    comp = list(range(len(texts)))
+    for _ in texts:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(a & b) >= 80 * len(a | b):
+                    comp[i] = comp[j] = min(comp[i], comp[j])
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {x["doc_id"]: x["component_id"] for x in near_dedup.near_duplicates(df, 4, 80).collect()}
+    assert 1 < len(set(comp)) < len(comp) and got == dict(enumerate(comp))
+
+
 def test_pipeline(spark):
     import corpus_pipeline as c
     docs = _docs(spark)
