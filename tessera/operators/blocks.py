@@ -317,7 +317,7 @@ def _blocked_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed,
 
     def group(key, qpdf, cpdf):
         if len(qpdf) == 0 or len(cpdf) == 0:
-            return pd.DataFrame({n: [] for n in names})
+            return pd.DataFrame({n: [] for n in names}, dtype=object)
         Q = _matrix(qpdf["_qv"])
         Tm = _matrix(cpdf["_tv"])
         qids = qpdf["_qid"].to_numpy()
@@ -367,7 +367,7 @@ def chunked_cogroup(left: DataFrame, right: DataFrame, key, fn, schema,
 
     def run(lpdf, rpdf):
         if len(lpdf) == 0 or len(rpdf) == 0:
-            return pd.DataFrame({n: [] for n in names})
+            return pd.DataFrame({n: [] for n in names}, dtype=object)
         return fn(lpdf, rpdf)
 
     keys = key + ["_lc", "_rc"]

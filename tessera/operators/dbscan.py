@@ -33,11 +33,9 @@ from .graph import connected_components
 from .stats import grid_cell_counts
 from ..session import cut_lineage
 
-_SHIFT = 4294967296  # 2^32: packs (cx, cy) into one bigint cell key
-
-
 def _pack(cx, cy):
-    return cx * F.lit(_SHIFT) + cy
+    """One exact key of a cell or tile, whatever the size of its numbers."""
+    return F.concat_ws(":", cx, cy)
 
 
 def side_of(eps: float) -> float:
@@ -139,10 +137,9 @@ def _core_cell_links(core: DataFrame, eps: float, side: float, block_rows: int)
         hit = (lc[:, None] == rc[None, :]) & (_d(lpdf, rpdf) <= eps)
         got = np.unique(lc[np.nonzero(hit)[0]])
         pairs = uniq[got]
-        return pd.DataFrame({"src": np.asarray([p[0] for p in pairs], dtype=np.int64),
-                             "dst": np.asarray([p[1] for p in pairs], dtype=np.int64)})
+        return pd.DataFrame({"src": [p[0] for p in pairs], "dst": [p[1] for p in pairs]}, dtype=object)
 
-    link_schema = T.StructType([T.StructField("src", T.LongType()), T.StructField("dst", T.LongType())])
+    link_schema = T.StructType([T.StructField("src", T.StringType()), T.StructField("dst", T.StringType())])
     pts = core.select("cell", "cx", "cy", "id", "x", "y")
     tile_key = _pack(F.floor(F.col("cx") / 8), F.floor(F.col("cy") / 8))
     q = open_pairs.join(pts.withColumnRenamed("cell", "src"), "src").withColumn("key", tile_key)

@@ -12,9 +12,10 @@ def precision_by_threshold(df: DataFrame, score: str = "score", label: str = "la
     """For each distinct score t: positives / rows among rows with score >= t.
 
     Output ``threshold, precision`` (plus the cumulative counts ``tp, predicted``).
+    A row without a score lies below every threshold and is never counted.
     One aggregate per distinct score, then a range-partitioned running total.
     """
-    per_score = df.groupBy(F.col(score).alias("threshold")).agg(
+    per_score = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.when(F.col(label) > 0.5, 1).otherwise(0)).cast("long").alias("pos"),
         F.count(F.lit(1)).alias("cnt"))
     cum = running_totals(per_score, "threshold", ["pos", "cnt"], descending=True)

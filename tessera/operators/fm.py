@@ -253,7 +253,7 @@ def train_parallel_adagrad(df: DataFrame, num_factors: int = 4, rounds: int = 5,
                     for xi, yi in zip(X, y):
                         s = xi @ Vl
                         p = 0.5 * ((s * s).sum() - ((xi * xi) @ (Vl * Vl)).sum())
-                        mult = -yi * (1.0 - 1.0 / (1.0 + math.exp(-yi * p)))
+                        mult = -0.5 * yi * (1.0 - math.tanh(0.5 * yi * p))
                         gr = mult * (np.outer(xi, s) - Vl * (xi * xi)[:, None])
                         G += gr * gr
                         Vl -= step * gr / np.sqrt(G)
@@ -271,14 +271,16 @@ def train_parallel_adagrad(df: DataFrame, num_factors: int = 4, rounds: int = 5,
 
 
 # S10 ---------------------------------------------------------------------------
-FORMAT_VERSION = "1.0"
+FORMAT_VERSION = "1.1"
 
 
 def save_model(spark, model: FMModel, path: str) -> None:
     """Metadata JSON (class, version, sizes, range, task) + one-row parquet."""
     meta = {"class": "FMModel", "version": FORMAT_VERSION, "numFeatures": model.num_features,
-            "numFactors": model.num_factors, "min": model.min_target, "max": model.max_target,
-            "task": model.task}
+            "numFactors": model.num_factors, "task": model.task,
+            "min": model.min_target if math.isfinite(model.min_target) else None,
+            "max": model.max_target if math.isfinite(model.max_target) else None,
+            "useBias": model.use_bias, "useLinear": model.use_linear}
     spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
     row = (float(model.w0), [float(x) for x in model.w], [float(x) for x in model.v.ravel()])
     spark.createDataFrame([row], "intercept double, weights array<double>, factors array<double>") \
@@ -294,4 +296,6 @@ def load_model(spark, path: str) -> FMModel:
     if len(d["weights"]) != n or len(d["factors"]) != n * k:
         raise ValueError("saved FM data does not match its metadata sizes")
     return FMModel(d["intercept"], np.array(d["weights"]), np.array(d["factors"]).reshape(n, k),
-                   int(meta["task"]), meta["min"], meta["max"])
+                   int(meta["task"]), -math.inf if meta["min"] is None else meta["min"],
+                   math.inf if meta["max"] is None else meta["max"],
+                   use_bias=meta["useBias"], use_linear=meta["useLinear"])

@@ -55,34 +55,42 @@ def shortest_paths(vertices: DataFrame, edges: DataFrame, origin, weight: str =
 
     Frontier relaxation: only vertices whose distance improved in the last
     step send candidates.  Result ``id, distance, predecessor`` for every
-    vertex; unreachable vertices get null distance and predecessor; equal
-    distances keep the smallest predecessor.
+    vertex; unreachable vertices get null distance and predecessor.  Of several
+    predecessors the smallest strictly nearer one is kept; one at the same
+    distance (an edge of weight 0) only if no nearer one exists, so following
+    predecessors always leads to the origin.  A negative weight is an error.
     """
-    e = edges.select("src", "dst", F.col(weight).alias("w"))
+    e = cut_lineage(edges.select("src", "dst", F.col(weight).alias("w")))
+    if e.filter("w < 0").limit(1).count():
+        release(e)
+        raise ValueError("shortest paths need weights of 0 or more")
     wtype = e.schema["w"].dataType
-    # one table per step: best known (distance, predecessor) and whether it just improved
+    # one table per step: best known distance, whether the predecessor is as far, predecessor, whether it just improved
     best = cut_lineage(vertices.filter(F.col("id") == F.lit(origin)).select(
-        "id", F.lit(0).cast(wtype).alias("d"), F.lit(None).cast("long").alias("pred"), F.lit(True).alias("fresh")))
+        "id", F.lit(0).cast(wtype).alias("d"), F.lit(False).alias("level"), F.lit(None).cast("long").alias("pred"), F.lit(True).alias("fresh")))
     step = 0
     while True:
         step += 1
         frontier = best.filter("fresh").select("id", "d")
         cand = (frontier.join(e, frontier.id == e.src)
                 .groupBy(F.col("dst").alias("id"))
-                .agg(F.min(F.struct((F.col("d") + F.col("w")).alias("d"), F.col("src").alias("pred"))).alias("c"))
-                .select("id", F.col("c.d").alias("cd"), F.col("c.pred").alias("cp")))
+                .agg(F.min(F.struct((F.col("d") + F.col("w")).alias("d"), (F.col("w") == 0).alias("level"),
+                                    F.col("src").alias("pred"))).alias("c"))
+                .select("id", F.col("c.d").alias("cd"), F.col("c.level").alias("cl"), F.col("c.pred").alias("cp")))
         m = best.join(cand, "id", "full_outer")
         better = F.col("cd").isNotNull() & (
             F.col("d").isNull() | (F.col("cd") < F.col("d")) |
-            ((F.col("cd") == F.col("d")) & F.col("pred").isNotNull() & (F.col("cp") < F.col("pred"))))
+            ((F.col("cd") == F.col("d")) & F.col("pred").isNotNull() & ~F.col("cl") & (F.col("level") | (F.col("cp") < F.col("pred")))))
         prev = best
         best = cut_lineage(m.select("id", F.when(better, F.col("cd")).otherwise(F.col("d")).alias("d"),
+                                    F.when(better, F.col("cl")).otherwise(F.col("level")).alias("level"),
                                     F.when(better, F.col("cp")).otherwise(F.col("pred")).alias("pred"),
                                     better.alias("fresh")))
         release(prev)
         if best.filter("fresh").limit(1).count() == 0 or (max_iter is not None and step >= max_iter):
             break
-    best = best.drop("fresh")
+    release(e)
+    best = best.drop("fresh", "level")
     return (vertices.select("id").join(best, "id", "left")
             .select("id", F.col("d").alias("distance"), F.col("pred").alias("predecessor")))
 

@@ -106,7 +106,9 @@ def read_labelled_by_folder(spark: SparkSession, path: str, binary: bool = False
     if binary:
         df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
         return df.withColumn("label", F.element_at(F.split("path", "/"), -2))
-    df = spark.read.option("recursiveFileLookup", True).text(path).withColumn("path", F.input_file_name())
+    # the name comes URI-encoded, where a plus sign is a plain character
+    name = F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B")))
+    df = spark.read.option("recursiveFileLookup", True).text(path).withColumn("path", name)
     return df.withColumn("label", F.element_at(F.split("path", "/"), -2))
 
 

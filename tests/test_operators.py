@@ -147,3 +147,51 @@ def test_frequent_itemsets_brute_force(spark):
     want = {c: n for c, n in counts.items() if n >= min_count}
     got = {tuple(r["items"]): r["freq"] for r in Q.frequent_itemsets(b, min_count).collect()}
     assert got == want
+
+
+def test_dbscan_far_coordinates(spark):
+    """Cells whose numbers exceed 32 bits keep apart, and epoch-sized coordinates do not overflow."""
+    from tessera.operators.dbscan import dbscan
+    far = [(1, 0.0, 0.0), (2, 0.0, 1.5e9), (3, 0.0, -1.5e9), (4, 0.35, 1.5e9 * 1.0001),
+           (5, 1.7e9, 1.7e9), (6, 1.7e9 + 0.25, 1.7e9), (7, 1.7e9 + 0.5, 1.7e9)]
+    got = {r["id"]: (r["flag"], r["cluster"]) for r in
+           dbscan(spark.createDataFrame(far, "id long, x double, y double"), 0.5, 2).collect()}
+    assert all(got[i] == ("noise", None) for i in (1, 2, 3, 4))
+    assert all(got[i] == ("core", 5) for i in (5, 6, 7))
+
+
+def test_shortest_paths_zero_and_negative_weights(spark):
+    import pytest
+    from tessera.operators.graph import shortest_paths
+    v = spark.createDataFrame([(i,) for i in range(1, 6)], "id long")
+    e = spark.createDataFrame([(5, 2, 1.0), (5, 3, 1.0), (2, 3, 0.0), (3, 2, 0.0), (3, 4, 0.0), (4, 3, 0.0)],
+                              "src long, dst long, weight double")
+    got = {r["id"]: (r["distance"], r["predecessor"]) for r in shortest_paths(v, e, 5).collect()}
+    assert got == {1: (None, None), 2: (1.0, 5), 3: (1.0, 5), 4: (1.0, 3), 5: (0.0, None)}
+    with pytest.raises(ValueError):
+        shortest_paths(v, spark.createDataFrame([(1, 2, -1.0)], "src long, dst long, weight double"), 1)
+
+
+def test_precision_leaves_rows_without_score(spark):
+    from tessera.operators.evaluate import precision_by_threshold
+    df = spark.createDataFrame([(0.5, 1.0), (None, 1.0), (0.2, 0.0)], "score double, label double")
+    got = {r["threshold"]: (r["predicted"], r["precision"]) for r in precision_by_threshold(df).collect()}
+    assert got == {0.5: (1, 1.0), 0.2: (2, 0.5)}
+
+
+def test_fm_model_keeps_its_switches(spark, tmp_path):
+    import numpy as np
+    from tessera.operators import fm
+    m = fm.FMModel(1.0, np.ones(3), np.ones((3, 2)), 1, use_bias=False, use_linear=False)
+    fm.save_model(spark, m, str(tmp_path / "m"))
+    r = fm.load_model(spark, str(tmp_path / "m"))
+    assert (r.use_bias, r.use_linear, r.min_target, r.max_target) == (False, False, m.min_target, m.max_target)
+
+
+def test_folder_label_with_blank(spark, tmp_path):
+    from tessera.sources.files import read_labelled_by_folder
+    d = tmp_path / "a b+c"
+    d.mkdir()
+    (d / "x.txt").write_text("hello")
+    for binary in (False, True):
+        assert [r["label"] for r in read_labelled_by_folder(spark, str(tmp_path), binary).collect()] == ["a b+c"]
