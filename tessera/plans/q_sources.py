@@ -77,14 +77,17 @@ def s7_csv_onehot_label(spark, sf_dir):
     return S.csv_to_onehot(spark.read.text(path), label_index=2, num_classes=3)
 
 
-@register("s8_labelled_by_folder")
+@register("s8_labelled_by_folder", "select doc_id, lang, text from documents")
 def s8_labelled_by_folder(spark, sf_dir):
-    docs = I.table(spark, sf_dir, "documents").select("lang", F.col("doc_id").cast("string").alias("value"))
+    # one line per document, whole text included; line ends inside a text are escaped
+    docs = I.table(spark, sf_dir, "documents").select("lang", F.to_json(F.struct("doc_id", "text")).alias("value"))
     path = scratch_path(spark, "s8_by_lang")
     docs.write.mode("overwrite").partitionBy("lang").text(path)
-    out = S.read_labelled_by_folder(spark, path)
-    return out.select(F.col("value").cast("bigint").alias("doc_id"),
-                      F.regexp_replace("label", "^lang=", "").alias("lang"))
+    lang = F.regexp_replace("label", "^lang=", "")
+    out = S.read_labelled_by_folder(spark, path).select(
+        F.from_json("value", "doc_id bigint, text string").alias("d"),
+        F.nullif(lang, F.lit("__HIVE_DEFAULT_PARTITION__")).alias("lang"))
+    return out.select("d.doc_id", "lang", "d.text")
 
 
 @register("s9_pipeline_save_load")
