@@ -8,7 +8,7 @@ are candidates; every candidate link is confirmed on the full sets.  With
 similarity 0.8 and two levels a pair meets in one tree with probability 0.64
 and in none of 10 with probability 4e-5.
 
-No node emits pairs.  First every member is compared with one pivot of its
+No node emits all its pairs.  First every member is compared with one pivot of its
 node, and the confirmed links are closed to components.  Nodes that still span
 several components are cut into cells of at most two blocks, each of about
 ``BLOCK`` members and ``BLOCK_BYTES`` bytes of sets.  In a cell every two
