@@ -241,6 +241,17 @@ def test_near_dedup_cells(spark, monkeypatch, block, block_bytes):
     assert 1 < len(set(comp)) < len(comp) and got == dict(enumerate(comp))
 
 
+def test_near_dedup_links_inside_a_crowd(spark):
+    """600 pairs at the least similarity, all nearly as close to one another, so that every node is branched to the last level."""
+    core = " ".join(f"core{i}" for i in range(79))
+    rows = [(2 * p + i, f"{core} pair{p} " + " ".join(f"own{p}x{i}x{j}" for j in range(10))) for p in range(600) for i in (0, 1)]
+    sets = [set(t.split()) for _, t in rows]
+    assert 100 * len(sets[0] & sets[1]) == 80 * len(sets[0] | sets[1]) and 100 * len(sets[0] & sets[2]) < 80 * len(sets[0] | sets[2])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x["doc_id"]: x["component_id"] for x in near_dedup.near_duplicates(df, 1, 80).collect()}
+    assert got == {d: d - d % 2 for d, _ in rows}
+
+
 def test_pipeline(spark):
     import corpus_pipeline as c
     docs = _docs(spark)
