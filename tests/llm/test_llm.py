@@ -180,6 +180,9 @@ def test_toxicity_combined_disguises(spark):
             for before, after in (("", ""), ("und ", " the")):
                 ch = next(iter(text_chunks(pa.array([before + text + after]))))
                 assert toxicity.restored(ch, model.channel).data.tobytes().decode() == before + word + after, text
+    for text, want in (("such a l o s e r", "such a loser"), ("a l 0 s 3 r", "a loser"), ("y i d i o t", "y idiot")):
+        ch = next(iter(text_chunks(pa.array([text]))))
+        assert toxicity.restored(ch, model.channel).data.tobytes().decode() == want
     for text in ("the!!!", "et!!", "1 000 000", "4 5 5", "1 2 3"):
         got = toxicity.restored(next(iter(text_chunks(pa.array([text])))), model.channel).data.tobytes().decode()
         assert got.replace(" ", "") == text.replace(" ", "")
