@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (byte_bpe, language_id, lm_score, main_text, mixing, near_dedup, quality_rules, sharding, toxicity,
-               vector_dedup)
+from . import (byte_bpe, language_id, lm_score, main_text, mixing, near_dedup, quality_rules, sharding, token_counts,
+               toxicity, vector_dedup)
 
 _MODULES = {
     "op1_lm_score": (lm_score.op1_lm_score, lm_score.ORACLE_SQL),
@@ -16,6 +16,7 @@ _MODULES = {
     "op8_byte_bpe": (byte_bpe.op8_byte_bpe, byte_bpe.ORACLE_SQL),
     "op9_quality_rules": (quality_rules.op9_quality_rules, quality_rules.ORACLE_SQL),
     "op10_near_dedup": (near_dedup.op10_near_dedup, near_dedup.ORACLE_SQL),
+    "op12_token_counts": (token_counts.op12_token_counts, token_counts.ORACLE_SQL),
 }
 
 
