@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (byte_bpe, language_id, lm_score, main_text, merkle, mixing, near_dedup, quality_rules, sharding, token_counts,
+from . import (byte_bpe, language_id, lm_score, main_text, merkle, mixing, near_dedup, quality_rules, search, sharding, token_counts,
                toxicity, vector_dedup)
 
 _MODULES = {
@@ -16,6 +16,7 @@ _MODULES = {
     "op8_byte_bpe": (byte_bpe.op8_byte_bpe, byte_bpe.ORACLE_SQL),
     "op9_quality_rules": (quality_rules.op9_quality_rules, quality_rules.ORACLE_SQL),
     "op10_near_dedup": (near_dedup.op10_near_dedup, near_dedup.ORACLE_SQL),
+    "op11_lexical_search": (search.op11_lexical_search, search.ORACLE_SQL),
     "op12_token_counts": (token_counts.op12_token_counts, token_counts.ORACLE_SQL),
     "op13_merkle_manifest": (merkle.op13_merkle_manifest, merkle.ORACLE_SQL),
 }
