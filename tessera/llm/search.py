@@ -153,6 +153,7 @@ def best_classes(representatives: DataFrame, weights: np.ndarray, posting: np.nd
     ``item[posting[t]:posting[t + 1]]`` are the items with term t.
     """
     shared = representatives.sparkSession.sparkContext.broadcast((weights, posting, item))
+    pairs = PAIRS
 
     def block(b, weights, posting, item):
         """(item, score, row) of every class and item with a score."""
@@ -170,7 +171,7 @@ def best_classes(representatives: DataFrame, weights: np.ndarray, posting: np.nd
         first = 0
         while first < len(raw):  # some rows at a time, at least one
             begin = ends[first] - size[first]
-            last = int(np.searchsorted(upto[ends], upto[begin] + PAIRS, "right"))
+            last = int(np.searchsorted(upto[ends], upto[begin] + pairs, "right"))
             last = min(max(last, first + 1), max(first + 1, first + (1 << 22) // items), len(raw))
             s, e = begin, ends[last - 1]
             n = cost[s:e]
