@@ -54,7 +54,7 @@ select id, label, round({_RAW}, 6) as raw, round(1 / (1 + exp(-{_RAW})), 6) as p
 def m1_fm_scoring(spark, sf_dir):
     rows = _fm_rows(spark, sf_dir)
     m1, m0 = fixed_fm(1), fixed_fm(0)
-    out = rows.withColumn("raw", F.round(FM.raw_score(m1), 6))
+    out = rows.withColumn("raw", F.round(FM.raw_score(rows, m1), 6))
     out = FM.predict(out, m1, out="probability")
     out = FM.predict(out, m0, out="clipped")
     return out.select("id", "label", "raw", F.round("probability", 6).alias("probability"),
@@ -84,6 +84,154 @@ def m2_fm_gradient(spark, sf_dir):
     return t.select("name", F.round("value", 6).alias("value"))
 
 
+def _grad0_sql(m):
+    n, k = m.v.shape
+    s = {f: "(0.0 + " + " + ".join(f"x{i} * {float(m.v[i, f])!r}" for i in range(n)) + ")" for f in range(k)}
+    cols = ["sum(mult) as w0"] + [f"sum(mult * x{i}) as w_{i}" for i in range(n)]
+    cols += [f"sum(mult * (x{i} * {s[f]} - {float(m.v[i, f])!r} * x{i} * x{i})) as v_{i}_{f}" for i in range(n) for f in range(k)]
+    names = ["w0"] + [f"w_{i}" for i in range(n)] + [f"v_{i}_{f}" for i in range(n) for f in range(k)]
+    body = f"""
+with r as ({I.REGRESSION_SQL}),
+q as (select *, least(greatest({_raw_sql(m)}, 0.0), 1.0) - label as mult from r),
+g as (select {', '.join(cols)}, sum(mult * mult) as loss, count(*) * 1.0 as count from q)
+"""
+    return body + " union all ".join(f"select '{nm}' as name, round({nm}, 6) as value from g" for nm in names + ["loss", "count"])
+
+
+@register("m2_fm_gradient_regression", _grad0_sql(fixed_fm(0)))
+def m2_fm_gradient_regression(spark, sf_dir):
+    t = FM.gradient_table(_fm_rows(spark, sf_dir), fixed_fm(0))
+    return t.select("name", F.round("value", 6).alias("value"))
+
+
+# wide one-hot rows: three active entries of WIDE features ------------------------
+PARTS, SUPPLIERS = 3000, 500
+WIDE = PARTS + SUPPLIERS + 1
+
+
+def wide_rows(spark, sf_dir):
+    li = I.table(spark, sf_dir, "lineitem")
+    idx = F.array((F.col("l_partkey") % PARTS).cast("int"), (PARTS + F.col("l_suppkey") % SUPPLIERS).cast("int"), F.lit(WIDE - 1))
+    return li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+                     F.struct(F.lit(WIDE).alias("size"), idx.alias("indices"),
+                              F.array(F.lit(1.0), F.lit(1.0), F.col("l_discount") * 10.0).alias("values")).alias("features"),
+                     F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("label"))
+
+
+def wide_fm(task):
+    """Weights by a rule that SQL can state: see ``_w`` and ``_v``."""
+    i = np.arange(WIDE)
+    w = 0.1 * np.sin(i + 1.0)
+    v = np.stack([0.1 * np.cos((f + 2.0) * (i + 1.0)) for f in range(K_FM)], axis=1)
+    return FM.FMModel(0.05, w, v, task, min_target=0.0, max_target=1.0)
+
+
+def _w(i):
+    return f"0.1 * sin({i} + 1.0)"
+
+
+def _v(i, f):
+    return f"0.1 * cos({f + 2.0} * ({i} + 1.0))"
+
+
+def _wide_sql():
+    at = ["a", "b", "c"]
+    s = {f: " + ".join(f"{_v(i, f)} * {x}" for i, x in zip(at, ("1.0", "1.0", "x"))) for f in range(K_FM)}
+    q = {f: " + ".join(f"({_v(i, f)}) * ({_v(i, f)}) * {x} * {x}" for i, x in zip(at, ("1.0", "1.0", "x"))) for f in range(K_FM)}
+    lin = " + ".join(f"{_w(i)} * {x}" for i, x in zip(at, ("1.0", "1.0", "x")))
+    pair = " + ".join(f"0.5 * (s{f} * s{f} - q{f})" for f in range(K_FM))
+    sums = ", ".join(f"{s[f]} as s{f}, {q[f]} as q{f}" for f in range(K_FM))
+    return f"""
+with r as (select l_orderkey * 8 + l_linenumber as id, l_partkey % {PARTS} as a, {PARTS} + l_suppkey % {SUPPLIERS} as b, {WIDE - 1}::bigint as c,
+                  l_discount * 10.0 as x, case when l_returnflag = 'R' then 1.0 else 0.0 end as label from lineitem),
+t as (select *, {lin} as lin, {sums} from r),
+p as (select *, 0.05 + lin + {pair} as p from t)"""
+
+
+@register("m1_fm_scoring_one_hot", _wide_sql() + """
+select id, label, round(p, 6) as raw, round(1 / (1 + exp(-p)), 6) as probability, round(least(greatest(p, 0.0), 1.0), 6) as clipped from p
+""")
+def m1_fm_scoring_one_hot(spark, sf_dir):
+    rows = wide_rows(spark, sf_dir)
+    out = rows.withColumn("raw", F.round(FM.raw_score(rows, wide_fm(1)), 6))
+    out = FM.predict(FM.predict(out, wide_fm(1), out="probability"), wide_fm(0), out="clipped")
+    return out.select("id", "label", "raw", F.round("probability", 6).alias("probability"), F.round("clipped", 6).alias("clipped"))
+
+
+@register("m1_fm_scoring_weight_table", _wide_sql() + """
+select id, round(1 / (1 + exp(-p)), 6) as probability from p
+""")
+def m1_fm_scoring_weight_table(spark, sf_dir):
+    m = wide_fm(1)
+    out = FM.predict_by_join(wide_rows(spark, sf_dir), FM.weight_table(spark, m), m, out="probability")
+    return out.select("id", F.round("probability", 6).alias("probability"))
+
+
+def _wide_grad_sql(task):
+    mult = "least(greatest(p, 0.0), 1.0) - label" if task == 0 else "-y * (1 - 1 / (1 + exp(-y * p)))"
+    loss = "mult * mult" if task == 0 else "ln(1 + exp(-y * p))"
+    entries = " union all ".join(f"select {i} as i, {x} as x, mult, s0, s1 from q" for i, x in (("a", "1.0"), ("b", "1.0"), ("c", "x")))
+    parts = ", ".join(f"sum(mult * (x * s{f} - ({_v('i', f)}) * x * x)) as v{f}" for f in range(K_FM))
+    rows = " union all ".join(f"select 'v_' || i || '_{f}', coalesce(v{f}, 0.0) from z" for f in range(K_FM))
+    return _wide_sql() + f""",
+y as (select *, case when label > 0 then 1.0 else -1.0 end as y from p),
+q as (select *, {mult} as mult from y),
+e as ({entries}),
+g as (select i, sum(mult * x) as w, {parts} from e group by i),
+z as (select range as i, w, v0, v1 from range({WIDE}) left join g on g.i = range)
+select name, round(value, 6) as value from (
+  select 'w0' as name, sum(mult) as value from q union all select 'loss', sum({loss}) from q union all select 'count', count(*) * 1.0 from q
+  union all select 'w_' || i, coalesce(w, 0.0) from z union all {rows})"""
+
+
+@register("m2_fm_gradient_one_hot", _wide_grad_sql(1))
+def m2_fm_gradient_one_hot(spark, sf_dir):
+    t = FM.gradient_table(wide_rows(spark, sf_dir), wide_fm(1))
+    return t.select("name", F.round("value", 6).alias("value"))
+
+
+@register("m2_fm_gradient_one_hot_regression", _wide_grad_sql(0))
+def m2_fm_gradient_one_hot_regression(spark, sf_dir):
+    t = FM.gradient_table(wide_rows(spark, sf_dir), wide_fm(0))
+    return t.select("name", F.round("value", 6).alias("value"))
+
+
+# one step of training from the fixed model: step 0.15, separate L2, switched-off parts stay ---
+STEP_REG = (0.3, 0.2, 0.1)
+
+
+def _step_sql(m, use_bias, use_linear):
+    n, k = m.v.shape
+    theta = [("w0", m.w0, STEP_REG[0])] + [(f"w_{i}", m.w[i], STEP_REG[1]) for i in range(n)] \
+        + [(f"v_{i}_{f}", m.v[i, f], STEP_REG[2]) for i in range(n) for f in range(k)]
+    used = FM.FMModel(m.w0 if use_bias else 0.0, m.w if use_linear else 0 * m.w, m.v, m.task)
+    on = lambda nm: (use_bias or nm != "w0") and (use_linear or not nm.startswith("w_"))
+    moved = " ".join(f"when '{nm}' then {float(t)!r} - {0.15 if on(nm) else 0.0} * (value / n + {r} * {float(t)!r})" for nm, t, r in theta)
+    return f"""with grad as ({_grad_sql(used).replace("round(", "(").replace(", 6) as value", ") as value")}),
+c as (select value as n from grad where name = 'count')
+select name, round(case name {moved} end, 6) as value from grad, c where name not in ('loss', 'count')"""
+
+
+def _step_rows(spark, sf_dir, use_bias, use_linear):
+    m = fixed_fm(1)
+    m.use_bias, m.use_linear = use_bias, use_linear
+    out = FM.train_sgd(_fm_rows(spark, sf_dir), 1, K_FM, iterations=1, step=0.15, reg=STEP_REG, model=m)
+    n, k = out.v.shape
+    names = ["w0"] + [f"w_{i}" for i in range(n)] + [f"v_{i}_{f}" for i in range(n) for f in range(k)]
+    rows = spark.createDataFrame(list(zip(names, map(float, out.flat()))), "name string, value double")
+    return rows.select("name", F.round("value", 6).alias("value"))
+
+
+@register("m3_fm_sgd_step", _step_sql(fixed_fm(1), True, True))
+def m3_fm_sgd_step(spark, sf_dir):
+    return _step_rows(spark, sf_dir, True, True)
+
+
+@register("m3_fm_sgd_step_switched_off", _step_sql(fixed_fm(1), False, False))
+def m3_fm_sgd_step_switched_off(spark, sf_dir):
+    return _step_rows(spark, sf_dir, False, False)
+
+
 @register("m3_fm_sgd_training")
 def m3_fm_sgd_training(spark, sf_dir):
     hist = []
