@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_bounded, cut_lineage
-from .ordered import running_totals
+from .ordered import row_ranks
 
 # Fibonacci hashing constant: frac(id * PHI) is a deterministic uniform-ish
 # value in [0, 1) that any SQL engine computes identically on doubles.
@@ -82,11 +82,10 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 def dense_index(df: DataFrame, order_col: str, out: str = "row_index") -> DataFrame:
     """0-based position of each row in ``order_col`` order, computed distributed.
 
-    Keys must be unique.  Uses range-partitioned running counts, never a
-    single-partition window.
+    Rows of equal keys stand in any order.  Range-partitioned, never a window
+    over the whole table.
     """
-    r = running_totals(df.withColumn("_one", F.lit(1)), order_col, ["_one"], descending=False)
-    return r.withColumn(out, F.col("_one_cum") - 1).drop("_one", "_one_cum")
+    return row_ranks(df, [F.col(order_col).asc()], out)
 
 
 def with_row_id(df: DataFrame, id_col: str | None = None, out: str = "row_id") -> DataFrame:
@@ -119,11 +118,11 @@ def label_index_table(df: DataFrame, col: str) -> DataFrame:
     """Frequency-ordered index of the distinct values of ``col``.
 
     Order: count descending, value ascending; index 0-based.  The table has
-    one row per distinct label (a model-sized table, like the string indexer's).
+    one row per distinct label; however many they are, no task orders them all.
     """
     counts = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("freq"))
-    w = Window.orderBy(F.col("freq").desc(), F.col("value").asc())
-    return counts.withColumn("label_index", (F.row_number().over(w) - 1).cast("double"))
+    ranked = row_ranks(counts, [F.col("freq").desc(), F.col("value").asc()], "label_index")
+    return ranked.withColumn("label_index", F.col("label_index").cast("double"))
 
 
 def index_labels(df: DataFrame, col: str, out: str = "label_index") -> DataFrame:

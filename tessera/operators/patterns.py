@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_bounded, cut_lineage
+from ..session import broadcast_if_bounded, cut_lineage, release
+from .ordered import row_ranks
 from .stats import frequent_items
 
 
 def item_ranks(baskets: DataFrame, min_count: int, items: str = "items") -> DataFrame:
     """Frequent items with their rank (0 = most frequent; ties by item)."""
     f = frequent_items(baskets, min_count, items)
-    # one row per frequent item: the item dictionary, model-sized
-    w = Window.orderBy(F.col("freq").desc(), F.col("item").asc())
-    return f.withColumn("rank", (F.row_number().over(w) - 1).cast("int"))
+    return row_ranks(f, [F.col("freq").desc(), F.col("item").asc()]).withColumn("rank", F.col("rank").cast("int"))
 
 
 def conditional_transactions(baskets: DataFrame, min_count: int, partitions: int,
@@ -49,5 +48,6 @@ def frequent_itemsets(baskets: DataFrame, min_count: int, items: str = "items",
     fp = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / max(n, 1), minConfidence=0.0)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
-    model = fp.fit(data)
-    return model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").cast("long").alias("freq"))
+    found = cut_lineage(fp.fit(data).freqItemsets)
+    release(data)
+    return found.select(F.array_sort("items").alias("items"), F.col("freq").cast("long").alias("freq"))

@@ -19,12 +19,11 @@ def grid_cell_counts(points: DataFrame, size: float, x: str = "x", y: str = "y")
 def frequent_items(baskets: DataFrame, min_count: int, items: str = "items") -> DataFrame:
     """Count per item over baskets, keep count >= min_count (A2 / Q1).
 
-    Ordered by count descending then item; partial aggregation happens map-side.
+    Partial aggregation happens map-side; no order is promised (A13 sorts).
     """
     return (baskets.select(F.explode(items).alias("item"))
             .groupBy("item").agg(F.count(F.lit(1)).alias("freq"))
-            .filter(F.col("freq") >= min_count)
-            .orderBy(F.col("freq").desc(), F.col("item").asc()))
+            .filter(F.col("freq") >= min_count))
 
 
 def feature_summary(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -59,8 +58,8 @@ def label_histogram(df: DataFrame, label: str = "label", weight: str | None = No
     valid = checked.filter((F.col("w") != 0) & ~invalid_label("label"))
     per = valid.groupBy(F.col("label").cast("int").alias("cls")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("w").alias("weight_sum"))
-    top = per.agg(F.max("cls").alias("mx"))
-    all_cls = top.select(F.explode(F.sequence(F.lit(0), F.col("mx"))).alias("cls"))
+    top = per.agg(F.max("cls")).first()[0]
+    all_cls = df.sparkSession.range(0 if top is None else top + 1).select(F.col("id").cast("int").alias("cls"))
     return (all_cls.join(per, "cls", "left")
             .select("cls", F.coalesce("n", F.lit(0)).cast("long").alias("n"),
                     F.coalesce("weight_sum", F.lit(0.0)).alias("weight_sum")))
