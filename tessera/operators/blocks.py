@@ -1,24 +1,30 @@
-"""Blocked top-k search between two vector tables.
+"""Top-k search between two vector tables.
 
 For every query row, the k best rows of a candidate table under Euclidean
 distance (smallest first) or inner product (largest first).  No cross join
 and no all-pairs row output:
 
-* If the candidate table is proven small (rows x dims x 8 bytes under a byte
-  bound) it is shipped once as a broadcast matrix and every query batch is
+* A candidate table counted to be small (vectors and carried columns under a
+  byte bound) is sent once as a broadcast matrix and every query batch is
   scored with numpy inside ``mapInPandas`` -- no shuffle at all.
-* Otherwise candidates are routed to partitions (one per pivot for
-  Euclidean search, a single one otherwise), every partition is cut into
-  chunks of at most ``block_rows`` rows on both sides, and each
-  (partition, query chunk, candidate chunk) group is scored in numpy by a
-  cogrouped ``applyInPandas``.  Each group emits at most ``k`` rows per query;
-  a final ``row_number() <= k`` (planned as a WindowGroupLimit) merges them.
-
-Pivot routing keeps the result exact: a query visits partition j only when
-``d(q, p_j) - r_j`` (r_j = partition radius) does not exceed an upper bound
-on its k-th distance, taken from the partitions it is sure to fill.  With a
-``tau`` buffer instead, a query visits only partitions whose pivot lies
-within ``tau`` of its nearest pivot (approximate search, fewer groups).
+* A larger one is dealt into slices below the bound, written once.  One slice
+  after the other is broadcast and merged into each query's running top-k; the
+  queries are mapped over, never shuffled, and the candidates are shuffled
+  once.  This serves inner products and Euclidean search without pivots.
+* Euclidean search with pivots deals the candidates out to their nearest pivot
+  and sends a query only to the pivots it cannot rule out; each pivot is cut
+  into chunks of at most ``block_rows`` rows on both sides, scored by a cogrouped
+  ``applyInPandas`` that emits at most k rows per query, and a final
+  ``row_number() <= k`` (planned as a WindowGroupLimit) merges them.
+
+Pivot routing keeps the result exact: a query visits pivot j only when
+``d(q, p_j) - r_j`` (r_j: its largest member distance) does not exceed an upper
+bound on the query's k-th distance.  Both sides are computed from coordinate
+differences, so their error is relative to the distances, wherever the data
+lie, and the comparison allows for it (:func:`_slack`).  Thousands of pivots
+are searched through groups of pivots: a group whose centre is too far for all
+its pivots is never looked into.  With a ``tau`` buffer instead, a query visits
+only pivots within ``tau`` of its nearest one (approximate search).
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import DEFAULT_BROADCAST_BYTES
+from ..session import DEFAULT_BROADCAST_BYTES, cut_lineage, release, scratch_path
 
 _ROUND = 9          # ties are broken on score rounded to 9 digits, then by id
 
@@ -120,14 +126,15 @@ def top_k(query: DataFrame, cand: DataFrame, k: int, *, qid: str = "id", tid: st
           max_distance: float | None = None, min_positive: bool = False,
           pivots: int = 0, tau: float | None = None, block_rows: int = 4096,
           broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, seed: int = 7,
-          chunk_by_id: int | None = None, chunk_quota: tuple[int, int] | None = None,
+          chunk_by_id: str | None = None, chunk_quota: tuple[int, int] | None = None,
           force_blocked: bool = False) -> DataFrame:
     """Long-form top-k: ``qid, tid, <distance|score>, rank, aux...``.
 
-    ``chunk_by_id`` / ``chunk_quota`` give the per-block quota mode used by
-    approximate recommendation: candidates fall in blocks ``tid mod b`` and
-    with quota (n, total) each block keeps ``ceil(n * block size / total)`` per query before the
-    final top-k.
+    ``force_blocked`` skips the single broadcast; ``block_rows`` then bounds a
+    slice.  ``chunk_by_id`` / ``chunk_quota`` give the per-block quota mode used
+    by approximate recommendation: ``chunk_by_id`` names a column with the block
+    number of each candidate, and with quota (n, total) each block keeps
+    ``ceil(n * block size / total)`` per query before the final top-k.
     """
     if metric not in ("l2", "dot"):
         raise ValueError("metric must be 'l2' or 'dot'")
@@ -139,20 +146,20 @@ def top_k(query: DataFrame, cand: DataFrame, k: int, *, qid: str = "id", tid: st
     schema = _out_schema(qfields[qid], cfields[tid].dataType, aux_fields, value_name)
     q = query.select(F.col(qid).alias("_qid"), F.col(qvec).cast("array<double>").alias("_qv"))
     c = cand.select(F.col(tid).alias("_tid"), F.col(tvec).cast("array<double>").alias("_tv"),
-                    *[F.col(a).alias(f"aux_{a}") for a in aux])
+                    *[F.col(a).alias(f"aux_{a}") for a in aux],
+                    *([F.col(chunk_by_id).cast("long").alias("_blk")] if chunk_by_id else []))
     opts = dict(k=k, metric=metric, exclude_self=exclude_self, max_distance=max_distance,
                 min_positive=min_positive)
-
-    quota_mode = chunk_by_id is not None
-    if not force_blocked and not quota_mode:
+    if not force_blocked and not chunk_by_id:
         small = _collect_if_small(c, broadcast_bytes)
         if small is not None:
             # every query row meets all candidates in its own batch: the
             # ranking is final there, no shuffle afterwards
             return _broadcast_path(q, small, schema, aux, opts)
-    long = _blocked_path(q, c, schema, aux, opts, pivots if metric == "l2" else 0, tau,
-                         block_rows, seed, chunk_by_id, chunk_quota, broadcast_bytes)
-    return _rank(long, k, metric, value_name)
+    if metric == "l2" and pivots > 1:
+        long = _routed_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed, broadcast_bytes)
+        return _rank(long, k, metric, value_name)
+    return _sliced_path(q, c, schema, aux, opts, broadcast_bytes, block_rows if force_blocked else None, chunk_quota)
 
 
 def _rank(long: DataFrame, k: int, metric: str, value_name: str) -> DataFrame:
@@ -161,18 +168,26 @@ def _rank(long: DataFrame, k: int, metric: str, value_name: str) -> DataFrame:
     return long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def _row_bytes(c: DataFrame) -> "F.Column":
+    """Bytes of a candidate row in memory: its vector and all carried columns."""
+    total = F.coalesce(F.size("_tv"), F.lit(0)).cast("long") * 8 + 64
+    for f in c.schema.fields:
+        if f.name.startswith("aux_"):
+            size = F.octet_length(F.col(f.name).cast("string")) if f.dataType.typeName() not in ("binary",) else F.octet_length(f.name)
+            total = total + F.coalesce(size, F.lit(0)).cast("long") + 56
+    return total
+
+
 def _collect_if_small(c: DataFrame, max_bytes: int):
-    """The candidate table as numpy arrays, only if provably under ``max_bytes``."""
+    """The candidate table as a pandas frame, only if provably under ``max_bytes``."""
     first = c.select(F.size("_tv").alias("d")).first()
     if first is None:
+        return c.toPandas()
+    max_rows = max_bytes // (8 * max(int(first["d"] or 0), 1) + 64)
+    seen = c.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(c)).alias("b")).first()
+    if seen["n"] > max_rows or seen["b"] > max_bytes:
         return None
-    dims = max(int(first["d"]), 1)
-    max_rows = max_bytes // (8 * dims + 64)
-    n = c.limit(max_rows + 1).count()
-    if n > max_rows:
-        return None
-    pdf = c.toPandas()
-    return pdf
+    return c.toPandas()
 
 
 def _broadcast_path(q: DataFrame, small: pd.DataFrame, schema, aux, opts) -> DataFrame:
@@ -203,130 +218,259 @@ def _broadcast_path(q: DataFrame, small: pd.DataFrame, schema, aux, opts) -> Dat
     return q.mapInPandas(run, schema)
 
 
-def _assign_pivots(c: DataFrame, pv: np.ndarray) -> DataFrame:
-    spark = c.sparkSession
-    bc = spark.sparkContext.broadcast(pv)
-    schema = T.StructType(c.schema.fields + [T.StructField("_pid", T.IntegerType()),
-                                             T.StructField("_pd", T.DoubleType())])
+# successive slices ---------------------------------------------------------------
+def _sliced_path(q, c, schema, aux, opts, max_bytes, max_rows, quota) -> DataFrame:
+    """One broadcast slice of the candidates after the other, merged into each query's running top-k."""
+    spark = q.sparkSession
+    stored = cut_lineage(c.withColumn("_row", F.monotonically_increasing_id()))
+    size = stored.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(c)).alias("b")).first()
+    n = size["n"]
+    slices = max(1, math.ceil((size["b"] or 0) / max_bytes), math.ceil(n / max_rows) if max_rows else 1)
+    # whole blocks share a slice where a quota needs them together; else the row number deals the rows evenly
+    key = F.pmod(F.col("_blk"), F.lit(slices)) if quota else F.pmod(F.xxhash64("_row"), F.lit(slices))
+    path = scratch_path(spark, "slices")
+    stored.withColumn("_slice", key.cast("int")).drop("_row").repartition(slices, "_slice").write.partitionBy("_slice").parquet(path)
+    release(stored)
+    names = [f.name for f in schema.fields]
+    lists = [T.StructField(f"_top_{f.name}", T.ArrayType(f.dataType)) for f in schema.fields[1:]]
+    state = T.StructType(q.schema.fields + lists)
+    final = T.StructType(schema.fields[:3] + [T.StructField("rank", T.IntegerType())] + schema.fields[3:])
+    table = spark.read.parquet(path) if n else c.limit(0)
+    table._tessera_path = path
+    now, before = q, None
+    for j in range(slices):
+        part = (table.filter(F.col("_slice") == j).drop("_slice") if n else table).toPandas()
+        last = j + 1 == slices
+        run = _slice_run(spark.sparkContext.broadcast(part), names, opts, quota, final if last else None)
+        now = now.mapInPandas(run, final if last else state)
+        if not last:
+            now = cut_lineage(now)
+            release(before)
+            before = now
+    release(table)  # every slice has been read and sent
+    return now
+
+
+def _slice_run(shared, names, opts, quota, final):
+    """Scores one slice and merges it with the ``_top_*`` lists of the queries; gives rows at the end, else lists."""
+    k, metric = opts["k"], opts["metric"]
+    tops = [f"_top_{n}" for n in names[1:]]
+
+    def score(Q, qids, part):
+        """(query, value, candidate row) of the slice's best candidates."""
+        tids, vectors = part["_tid"].to_numpy(), part["_tv"]
+        if quota is None:
+            r, ci, v = _score_block(Q, qids, _matrix(vectors), tids, **opts)
+            return r, v, ci
+        found = []
+        for rows in part.groupby("_blk").indices.values():
+            keep = max(1, -(-quota[0] * len(rows) // max(quota[1], 1)))
+            r, ci, v = _score_block(Q, qids, _matrix(vectors.iloc[rows]), tids[rows], keep=keep, **opts)
+            found.append((r, v, rows[ci]))
+        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0), np.zeros(0, int))
 
     def run(batches):
-        P = bc.value
+        part = shared.value
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            X = _matrix(pdf["_tv"])
-            d2 = (X * X).sum(1)[:, None] + (P * P).sum(1)[None, :] - 2.0 * (X @ P.T)
-            j = np.argmin(d2, axis=1)
-            pdf = pdf.copy()
-            pdf["_pid"] = j.astype(np.int32)
-            pdf["_pd"] = np.sqrt(((X - P[j]) ** 2).sum(1))
-            yield pdf
+            Q, qids = _matrix(pdf["_qv"]), pdf["_qid"].to_numpy()
+            r, v, ci = score(Q, qids, part) if len(part) else (np.zeros(0, int), np.zeros(0), np.zeros(0, int))
+            cols = [part["_tid"].to_numpy()[ci] if len(part) else np.zeros(0), v] + [part[n].to_numpy()[ci] if len(part) else np.zeros(0) for n in names[3:]]
+            if tops[0] in pdf:
+                size = pdf[tops[0]].map(len).to_numpy()
+                old = np.repeat(np.arange(len(pdf)), size)
+                cols = [np.concatenate([_flat(pdf[t], int(size.sum())), x]) if len(r) else _flat(pdf[t], int(size.sum())) for t, x in zip(tops, cols)]
+                r = np.concatenate([old, r])
+            key = np.round(cols[1].astype(np.float64) if metric == "l2" else -cols[1].astype(np.float64), _ROUND)
+            order = np.lexsort((cols[0], key, r)) if len(r) else np.zeros(0, int)
+            r = r[order]
+            place = np.arange(len(r)) - np.searchsorted(r, r, "left")
+            best = place < k
+            r, place, order = r[best], place[best], order[best]
+            cols = [x[order] for x in cols]
+            if final is not None:
+                out = {"qid": qids[r], "tid": cols[0], names[2]: cols[1].astype(np.float64), "rank": (place + 1).astype(np.int32)}
+                out.update(zip(names[3:], cols[2:]))
+                yield pd.DataFrame(out, columns=[f.name for f in final.fields])
+            else:
+                ends = np.searchsorted(r, np.arange(len(pdf) + 1))
+                out = {"_qid": pdf["_qid"], "_qv": pdf["_qv"]}
+                for t, x in zip(tops, cols):
+                    out[t] = [x[a:b] for a, b in zip(ends, ends[1:])]
+                yield pd.DataFrame(out)
+
+    return run
+
+
+def _flat(lists: pd.Series, size: int) -> np.ndarray:
+    """The items of all lists in a row."""
+    return np.concatenate([np.asarray(x) for x in lists if len(x)]) if size else np.zeros(0)
+
+
+# pivots ----------------------------------------------------------------------------
+def _distances(X: np.ndarray, P: np.ndarray) -> np.ndarray:
+    """Euclidean distances from coordinate differences (no cancellation far from the origin)."""
+    out = np.empty((len(X), len(P)))
+    for j in range(len(P)):
+        d = X - P[j]
+        out[:, j] = np.sqrt(np.einsum("ij,ij->i", d, d))
+    return out
+
+
+def _slack(dims: int) -> float:
+    """Relative error allowed for a distance computed from differences, several times its bound."""
+    return 8.0 * (dims + 8) * np.finfo(np.float64).eps
+
+
+class PivotTree:
+    """Pivots in groups around centres: the nearest pivots and the pivots within reach, most groups left unopened."""
+
+    def __init__(self, pivots: np.ndarray):
+        self.pivots = pivots
+        m = len(pivots)
+        self.centres = pivots[:max(1, int(math.sqrt(m)))]
+        group = np.argmin(_distances(pivots, self.centres), axis=1)
+        self.groups = [np.flatnonzero(group == g) for g in range(len(self.centres))]
+        self.reach = np.array([_distances(pivots[g], self.centres[i:i + 1]).max(initial=0.0) for i, g in enumerate(self.groups)])
+
+    def nearest(self, X: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number and distance of the nearest pivot of every row, ties to the smallest number."""
+        to = _distances(X, self.centres)
+        slack = _slack(X.shape[1])
+        best, at = np.full(len(X), np.inf), np.full(len(X), len(self.pivots))
+        for g in np.argsort(to.min(axis=0, initial=np.inf)):
+            members = self.groups[g]
+            rows = np.flatnonzero(to[:, g] - self.reach[g] - slack * (to[:, g] + self.reach[g]) <= best)
+            if not len(rows) or not len(members):
+                continue
+            d = _distances(X[rows], self.pivots[members])
+            j = np.argmin(d, axis=1)
+            dist, number = d[np.arange(len(rows)), j], members[j]
+            better = (dist < best[rows]) | ((dist == best[rows]) & (number < at[rows]))
+            best[rows[better]], at[rows[better]] = dist[better], number[better]
+        return at, best
+
+    def kth_bound(self, X: np.ndarray, count: np.ndarray, radius: np.ndarray, need: int, at: np.ndarray) -> np.ndarray:
+        """An upper bound on the distance of the ``need``-th candidate: members of the pivots around the nearest one."""
+        bound = np.full(len(X), np.inf)
+        home = np.empty(len(self.pivots), int)
+        for g, members in enumerate(self.groups):
+            home[members] = g
+        for g in np.unique(home[at]):
+            rows = np.flatnonzero(home[at] == g)
+            members = self.groups[g]
+            far = _distances(X[rows], self.pivots[members]) + radius[members]
+            order = np.argsort(far, axis=1)
+            filled = np.cumsum(count[members][order], axis=1) >= need
+            pos = np.argmax(filled, axis=1)
+            ok = filled[np.arange(len(rows)), pos]
+            bound[rows[ok]] = far[np.arange(len(rows)), order[np.arange(len(rows)), pos]][ok]
+        return bound
+
+    def within(self, X: np.ndarray, bound: np.ndarray, radius: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, pivot) pairs whose members may lie within the row's bound; pivots without members are left out."""
+        to = _distances(X, self.centres)
+        slack, rows, numbers = _slack(X.shape[1]), [], []
+        for g, members in enumerate(self.groups):
+            members = members[count[members] > 0]
+            if not len(members):
+                continue
+            far = self.reach[g] + radius[members].max()
+            near = np.flatnonzero(to[:, g] - far - slack * (to[:, g] + far) <= bound * (1 + slack) + _TIE)
+            d = _distances(X[near], self.pivots[members])
+            r, j = np.nonzero(d - radius[members] - slack * (d + radius[members]) <= (bound[near] * (1 + slack) + _TIE)[:, None])
+            rows.append(near[r])
+            numbers.append(members[j])
+        return (np.concatenate(rows), np.concatenate(numbers)) if rows else (np.zeros(0, int), np.zeros(0, int))
+
+
+_TIE = 2.0 * 10.0 ** -_ROUND  # candidates that only the rounding of ties brings level
+_STEP = 2000                  # rows of a batch routed at a time
+
+
+def _assign_pivots(c: DataFrame, shared) -> DataFrame:
+    schema = T.StructType(c.schema.fields + [T.StructField("_pid", T.IntegerType()), T.StructField("_pd", T.DoubleType())])
+
+    def run(batches):
+        tree = shared.value
+        for pdf in batches:
+            for a in range(0, len(pdf), _STEP):
+                some = pdf.iloc[a:a + _STEP].copy()
+                at, dist = tree.nearest(_matrix(some["_tv"]))
+                some["_pid"], some["_pd"] = at.astype(np.int32), dist
+                yield some
 
     return c.mapInPandas(run, schema)
 
 
-def _route_queries(q: DataFrame, pv: np.ndarray, counts: np.ndarray, radius: np.ndarray,
-                   k: int, exclude_self: bool, max_distance, tau) -> DataFrame:
-    spark = q.sparkSession
-    bc = spark.sparkContext.broadcast((pv, counts, radius))
+def _route_queries(q: DataFrame, shared, sizes, k: int, exclude_self: bool, max_distance, tau) -> DataFrame:
     schema = T.StructType(q.schema.fields + [T.StructField("_pid", T.IntegerType())])
     need = k + (1 if exclude_self else 0)
 
     def run(batches):
-        P, cnt, rad = bc.value
+        tree, (count, radius) = shared.value, sizes.value
         for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            X = _matrix(pdf["_qv"])
-            d = np.sqrt(np.maximum((X * X).sum(1)[:, None] + (P * P).sum(1)[None, :] - 2.0 * (X @ P.T), 0.0))
-            if tau is None:
-                # upper bound on the k-th distance from partitions sure to be filled
-                far = d + rad[None, :]
-                order = np.argsort(far, axis=1)
-                csum = np.cumsum(cnt[order], axis=1)
-                pos = np.argmax(csum >= need, axis=1)
-                enough = csum[np.arange(len(X)), pos] >= need
-                bound = np.where(enough, far[np.arange(len(X)), order[np.arange(len(X)), pos]], np.inf)
-                if max_distance is not None:
-                    bound = np.minimum(bound, max_distance)
-                visit = (d - rad[None, :]) <= bound[:, None] + 1e-9
-            else:
-                visit = d <= d.min(axis=1, keepdims=True) + tau
-            visit &= cnt[None, :] > 0
-            rows, pids = np.nonzero(visit)
-            out = pdf.iloc[rows].copy()
-            out["_pid"] = pids.astype(np.int32)
-            yield out
+            for a in range(0, len(pdf), _STEP):
+                some = pdf.iloc[a:a + _STEP]
+                X = _matrix(some["_qv"])
+                at, dist = tree.nearest(X)
+                if tau is None:
+                    bound = tree.kth_bound(X, count, radius, need, at)
+                    if max_distance is not None:
+                        bound = np.minimum(bound, max_distance)
+                    rows, pids = tree.within(X, bound, radius, count)
+                else:
+                    rows, pids = tree.within(X, dist + tau, np.zeros_like(radius), count)
+                out = some.iloc[rows].copy()
+                out["_pid"] = pids.astype(np.int32)
+                yield out
 
     return q.mapInPandas(run, schema)
 
 
-def _blocked_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed,
-                  chunk_by_id, chunk_quota, broadcast_bytes):
+def _routed_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed, broadcast_bytes):
     spark = q.sparkSession
-    k = opts["k"]
-    if pivots and pivots > 1:
-        dims = c.select(F.size("_tv").alias("d")).first()["d"]
-        if pivots * dims * 8 > broadcast_bytes:
-            raise ValueError("pivot table exceeds the broadcast bound")
-        from .features import unit_hash
-        # pivots: the first rows of a seeded id-hash order (reproducible anywhere)
-        sample = (c.select("_tid", "_tv").orderBy(unit_hash("_tid", seed), F.col("_tid")).limit(pivots).toPandas())
-        pv = _matrix(sample["_tv"])
-        ca = _assign_pivots(c, pv)
-        st = ca.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"), F.max("_pd").alias("r")).toPandas()
-        counts = np.zeros(len(pv), dtype=np.int64)
-        radius = np.zeros(len(pv))
-        counts[st["_pid"].to_numpy()] = st["n"].to_numpy()
-        radius[st["_pid"].to_numpy()] = st["r"].to_numpy()
-        qa = _route_queries(q, pv, counts, radius, k, opts["exclude_self"], opts["max_distance"], tau)
-        ca = ca.drop("_pd")
-    else:
-        ca = c.withColumn("_pid", F.lit(0).cast("int"))
-        qa = q.withColumn("_pid", F.lit(0).cast("int"))
-    # Partition sizes: one small row per partition reaches the driver.
-    ccount = ca.groupBy("_pid").agg(F.count(F.lit(1)).alias("nc"))
-    qcount = qa.groupBy("_pid").agg(F.count(F.lit(1)).alias("nq"))
-    sizes = ccount.join(qcount, "_pid", "inner").toPandas()
-    if len(sizes) == 0:
+    from .features import unit_hash
+    # pivots: the first rows of a seeded id-hash order (reproducible anywhere)
+    sample = c.select("_tid", "_tv").orderBy(unit_hash("_tid", seed), F.col("_tid")).limit(pivots).toPandas()
+    if len(sample) == 0:
         return spark.createDataFrame([], schema)
-    if chunk_by_id is not None:
-        sizes["tchunks"] = int(chunk_by_id)
-    else:
-        sizes["tchunks"] = np.maximum(1, np.ceil(sizes["nc"] / block_rows)).astype(int)
-    sizes["qchunks"] = np.maximum(1, np.ceil(sizes["nq"] / block_rows)).astype(int)
-    plan = spark.createDataFrame(sizes[["_pid", "tchunks", "qchunks"]].astype("int64").values.tolist(),
-                                 "_pid long, tchunks long, qchunks long")
-    # cogroup keys must have one type on both sides (int), whatever pandas gave
-    plan = plan.select(*[F.col(c).cast("int").alias(c) for c in ("_pid", "tchunks", "qchunks")])
-    plan = F.broadcast(plan)  # one row per partition: bounded by the pivot count
-    if chunk_by_id is not None:
-        tchunk = F.pmod(F.col("_tid"), F.col("tchunks")).cast("int")
-    else:
-        tchunk = F.pmod(F.xxhash64("_tid", F.lit(seed + 1)), F.col("tchunks")).cast("int")
+    pv = _matrix(sample["_tv"])
+    if pv.nbytes > broadcast_bytes:
+        raise ValueError("pivot table exceeds the broadcast bound")
+    shared = spark.sparkContext.broadcast(PivotTree(pv))
+    # written once: the sizes, the chunk plan and the search read the same assignment
+    ca = cut_lineage(_assign_pivots(c, shared))
+    st = ca.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"), F.max("_pd").alias("r")).toPandas()
+    counts = np.zeros(len(pv), dtype=np.int64)
+    radius = np.zeros(len(pv))
+    counts[st["_pid"].to_numpy()] = st["n"].to_numpy()
+    radius[st["_pid"].to_numpy()] = st["r"].to_numpy()
+    sizes = spark.sparkContext.broadcast((counts, radius))
+    qa = cut_lineage(_route_queries(q, shared, sizes, opts["k"], opts["exclude_self"], opts["max_distance"], tau))
+    ca = ca.drop("_pd")
+    # Partition sizes: one small row per pivot reaches the driver.
+    visits = dict(qa.groupBy("_pid").count().collect())
+    plan = [(int(p), int(max(1, -(-counts[p] // block_rows))), int(max(1, -(-n // block_rows)))) for p, n in visits.items() if counts[p]]
+    if not plan:
+        return spark.createDataFrame([], schema)
+    plan = F.broadcast(spark.createDataFrame(plan, "_pid int, tchunks int, qchunks int"))  # bounded by the pivot count
+    tchunk = F.pmod(F.xxhash64("_tid", F.lit(seed + 1)), F.col("tchunks")).cast("int")
+    qchunk = F.pmod(F.xxhash64("_qid", F.lit(seed + 2)), F.col("qchunks")).cast("int")
     ck = (ca.join(plan, "_pid").withColumn("_tc", tchunk)
-          .withColumn("_qc", F.explode(F.sequence(F.lit(0), F.col("qchunks") - 1)))
-          .withColumn("_qc", F.col("_qc").cast("int"))
-          .drop("tchunks", "qchunks"))
-    qk = (qa.join(plan, "_pid").withColumn("_qc", F.pmod(F.xxhash64("_qid", F.lit(seed + 2)), F.col("qchunks")).cast("int"))
-          .withColumn("_tc", F.explode(F.sequence(F.lit(0), F.col("tchunks") - 1)))
-          .withColumn("_tc", F.col("_tc").cast("int"))
-          .drop("tchunks", "qchunks"))
+          .withColumn("_qc", F.explode(F.sequence(F.lit(0), F.col("qchunks") - 1))).drop("tchunks", "qchunks"))
+    qk = (qa.join(plan, "_pid").withColumn("_qc", qchunk)
+          .withColumn("_tc", F.explode(F.sequence(F.lit(0), F.col("tchunks") - 1))).drop("tchunks", "qchunks"))
     names = [f.name for f in schema.fields]
     aux_names = [f"aux_{a}" for a in aux]
 
     def group(key, qpdf, cpdf):
         if len(qpdf) == 0 or len(cpdf) == 0:
             return pd.DataFrame({n: [] for n in names}, dtype=object)
-        Q = _matrix(qpdf["_qv"])
-        Tm = _matrix(cpdf["_tv"])
-        qids = qpdf["_qid"].to_numpy()
         tids = cpdf["_tid"].to_numpy()
-        keep = None
-        if chunk_quota is not None:
-            n, total = chunk_quota
-            keep = max(1, -(-n * len(cpdf) // max(total, 1)))
-        r, ci, v = _score_block(Q, qids, Tm, tids, keep=keep, **opts)
+        qids = qpdf["_qid"].to_numpy()
+        r, ci, v = _score_block(_matrix(qpdf["_qv"]), qids, _matrix(cpdf["_tv"]), tids, **opts)
         out = {"qid": qids[r], "tid": tids[ci], names[2]: v}
         for a in aux_names:
             out[a] = cpdf[a].to_numpy()[ci]

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import DEFAULT_BROADCAST_BYTES
 from . import blocks
+from .ordered import row_ranks
 
 
 def recommend_for_all(src: DataFrame, dst: DataFrame, num: int, *, src_id: str = "id",
@@ -16,15 +15,16 @@ def recommend_for_all(src: DataFrame, dst: DataFrame, num: int, *, src_id: str =
                       block_size: int = 4096, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                       force_blocked: bool = False) -> DataFrame:
     """Long form ``src, dst, rating, rank``: the ``num`` best dst rows per src row
-    by dot product (R1 / R2).  With ``approximate`` (R3) dst falls in blocks
-    ``id mod b`` (b = ceil(|dst| / block_size)) and each block keeps only
+    by dot product (R1 / R2).  With ``approximate`` (R3) dst falls in blocks of
+    ``block_size`` rows in id order and each block keeps only
     ``ceil(num * block size / |dst|)`` candidates per src before the final top-N."""
     if approximate:
         n_dst = dst.count()
-        b = max(1, math.ceil(n_dst / block_size))
-        res = blocks.top_k(src, dst, num, qid=src_id, tid=dst_id, qvec=features, tvec=features,
-                           metric="dot", block_rows=block_size, chunk_by_id=b,
-                           chunk_quota=(num, n_dst))
+        blocked = row_ranks(dst.select(dst_id, features), [F.col(dst_id).asc()], "_block_no")
+        blocked = blocked.withColumn("_block_no", F.expr(f"_block_no div {int(block_size)}"))
+        res = blocks.top_k(src, blocked, num, qid=src_id, tid=dst_id, qvec=features, tvec=features,
+                           metric="dot", block_rows=block_size, chunk_by_id="_block_no",
+                           chunk_quota=(num, n_dst), broadcast_bytes=broadcast_bytes)
     else:
         res = blocks.top_k(src, dst, num, qid=src_id, tid=dst_id, qvec=features, tvec=features,
                            metric="dot", block_rows=block_size, broadcast_bytes=broadcast_bytes,
@@ -50,5 +50,6 @@ def recommend_for_all_items(users: DataFrame, items: DataFrame, num: int, **kw)
 
 
 def tune_partitions(factors: DataFrame, partitions: int, key: str = "id") -> DataFrame:
-    """Hash-partition a factor table on its id before repeated use."""
+    """Hash-partition the query side of the search on its id.  The search maps over these rows and never
+    shuffles them, so this number of partitions is the number of its tasks."""
     return factors.repartition(partitions, key)

@@ -1,7 +1,5 @@
 """Recommendation analyses (R1-R4): every embedding as user and as item."""
 
-import math
-
 from pyspark.sql import functions as F
 
 from ..operators import recommend as R
@@ -61,9 +59,9 @@ def r1_nested_recommendations(spark, sf_dir):
 
 @register("r3_approx_top_n_block_quota", _SCORES_SQL + f""",
 n as (select count(*) as total from v),
-p as (select total,
-             cast(ceil(total / {BLOCK}.0) as bigint) as nb from n),
-blk as (select s.*, dst % p.nb as blk from s, p),
+p as (select total from n),
+no as (select id, (row_number() over (order by id) - 1) // {BLOCK} as blk from v),
+blk as (select s.*, no.blk from s join no on no.id = s.dst),
 bsz as (select blk, count(*) / (select total from n) as bsize from blk group by blk),
 q as (select blk.*, row_number() over (partition by src, blk.blk order by round(rating, 9) desc, dst) as br,
              ({NUM} * bsz.bsize + p.total - 1) // p.total as quota
