@@ -33,7 +33,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,14 @@ from ..session import DEFAULT_BROADCAST_BYTES, cut_lineage, release, scratch_pat
 _ROUND = 9          # ties are broken on score rounded to 9 digits, then by id
 
 
+def vector_array(df: DataFrame, col: str) -> Column:
+    """A features column as array<double>: an array of numbers, or an ml Vector."""
+    if df.schema[col].dataType.simpleString() == "vector":
+        from pyspark.ml.functions import vector_to_array
+        return vector_to_array(F.col(col))
+    return F.col(col).cast("array<double>")
+
+
 def _matrix(series: pd.Series) -> np.ndarray:
     if len(series) == 0:
         return np.zeros((0, 0))
@@ -124,14 +132,16 @@ def top_k(query: DataFrame, cand: DataFrame, k: int, *, qid: str = "id", tid: st
           qvec: str = "features", tvec: str = "features", metric: str = "l2",
           aux: list[str] | None = None, exclude_self: bool = False,
           max_distance: float | None = None, min_positive: bool = False,
-          pivots: int = 0, tau: float | None = None, block_rows: int = 4096,
+          pivots: int = 0, tau: float | None = None, block_rows: int = 4096, leaf_rows: int = 0,
           broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, seed: int = 7,
           chunk_by_id: str | None = None, chunk_quota: tuple[int, int] | None = None,
           force_blocked: bool = False) -> DataFrame:
     """Long-form top-k: ``qid, tid, <distance|score>, rank, aux...``.
 
     ``force_blocked`` skips the single broadcast; ``block_rows`` then bounds a
-    slice.  ``chunk_by_id`` / ``chunk_quota`` give the per-block quota mode used
+    slice.  ``leaf_rows`` > 0 cuts a pivot's chunk into rings of that many
+    candidates by their distance to the pivot, of which a query looks only into
+    those that can hold one of its k best.  ``chunk_by_id`` / ``chunk_quota`` give the per-block quota mode used
     by approximate recommendation: ``chunk_by_id`` names a column with the block
     number of each candidate, and with quota (n, total) each block keeps
     ``ceil(n * block size / total)`` per query before the final top-k.
@@ -144,8 +154,8 @@ def top_k(query: DataFrame, cand: DataFrame, k: int, *, qid: str = "id", tid: st
     cfields = {f.name: f for f in cand.schema.fields}
     aux_fields = [T.StructField(f"aux_{a}", cfields[a].dataType) for a in aux]
     schema = _out_schema(qfields[qid], cfields[tid].dataType, aux_fields, value_name)
-    q = query.select(F.col(qid).alias("_qid"), F.col(qvec).cast("array<double>").alias("_qv"))
-    c = cand.select(F.col(tid).alias("_tid"), F.col(tvec).cast("array<double>").alias("_tv"),
+    q = query.select(F.col(qid).alias("_qid"), vector_array(query, qvec).alias("_qv"))
+    c = cand.select(F.col(tid).alias("_tid"), vector_array(cand, tvec).alias("_tv"),
                     *[F.col(a).alias(f"aux_{a}") for a in aux],
                     *([F.col(chunk_by_id).cast("long").alias("_blk")] if chunk_by_id else []))
     opts = dict(k=k, metric=metric, exclude_self=exclude_self, max_distance=max_distance,
@@ -157,7 +167,11 @@ def top_k(query: DataFrame, cand: DataFrame, k: int, *, qid: str = "id", tid: st
             # ranking is final there, no shuffle afterwards
             return _broadcast_path(q, small, schema, aux, opts)
     if metric == "l2" and pivots > 1:
-        long = _routed_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed, broadcast_bytes)
+        first = c.select(F.size("_tv").alias("d")).first()
+        # no more pivots than the broadcast bound holds; a plan matter only, unless tau limits the visits
+        pivots = min(pivots, broadcast_bytes // (8 * max(int(first["d"] or 0), 1))) if first else 0
+    if metric == "l2" and pivots > 1:
+        long = _routed_path(q, c, schema, aux, opts, pivots, tau, block_rows, leaf_rows, seed)
         return _rank(long, k, metric, value_name)
     return _sliced_path(q, c, schema, aux, opts, broadcast_bytes, block_rows if force_blocked else None, chunk_quota)
 
@@ -168,7 +182,7 @@ def _rank(long: DataFrame, k: int, metric: str, value_name: str) -> DataFrame:
     return long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def _row_bytes(c: DataFrame) -> "F.Column":
+def _row_bytes(c: DataFrame) -> Column:
     """Bytes of a candidate row in memory: its vector and all carried columns."""
     total = F.coalesce(F.size("_tv"), F.lit(0)).cast("long") * 8 + 64
     for f in c.schema.fields:
@@ -429,7 +443,50 @@ def _route_queries(q: DataFrame, shared, sizes, k: int, exclude_self: bool, max_
     return q.mapInPandas(run, schema)
 
 
-def _routed_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed, broadcast_bytes):
+def _score_rings(Q, qids, Tm, tids, pivot, pd_, leaf_rows, opts):
+    """``_score_block`` over rings of candidates: a query's own ring first, then those its k-th distance reaches.
+
+    d(q, c) is at least |d(q, p) - d(c, p)|, so a ring further from the query's
+    distance to the pivot than its k-th distance so far holds none of its best.
+    """
+    if leaf_rows <= 0 or len(tids) <= leaf_rows:
+        return _score_block(Q, qids, Tm, tids, **opts)
+    order = np.argsort(pd_, kind="stable")
+    qd = _distances(Q, pivot[None, :])[:, 0]
+    starts = np.arange(0, len(order), leaf_rows)
+    own = np.clip(np.searchsorted(pd_[order][starts], qd, "right") - 1, 0, len(starts) - 1)
+    slack = _slack(Q.shape[1])
+    limit = np.full(len(Q), np.inf if opts["max_distance"] is None else opts["max_distance"])
+    found = []
+
+    def score(rows, ring):
+        r, ci, v = _score_block(Q[rows], qids[rows], Tm[ring], tids[ring], **opts)
+        found.append((rows[r], ring[ci], v))
+        return r, v
+
+    for j, a in enumerate(starts):
+        rows = np.flatnonzero(own == j)
+        if len(rows):
+            r, v = score(rows, order[a:a + leaf_rows])
+            last = np.full(len(rows), -1.0)
+            np.maximum.at(last, r, v)
+            full = np.bincount(r, minlength=len(rows)) >= opts["k"]
+            limit[rows[full]] = np.minimum(limit[rows[full]], last[full])
+    for j, a in enumerate(starts):
+        ring = order[a:a + leaf_rows]
+        lo, hi = pd_[ring[0]], pd_[ring[-1]]
+        gap = np.maximum(np.maximum(lo - qd, qd - hi), 0.0)
+        rows = np.flatnonzero((own != j) & (gap - slack * (qd + hi) <= limit * (1 + slack) + _TIE))
+        if len(rows):
+            score(rows, ring)
+    r, ci, v = (np.concatenate(x) for x in zip(*found))
+    best = np.lexsort((tids[ci], np.round(v, _ROUND), r))
+    r, ci, v = r[best], ci[best], v[best]
+    top = np.arange(len(r)) - np.searchsorted(r, r, "left") < opts["k"]
+    return r[top], ci[top], v[top]
+
+
+def _routed_path(q, c, schema, aux, opts, pivots, tau, block_rows, leaf_rows, seed):
     spark = q.sparkSession
     from .features import unit_hash
     # pivots: the first rows of a seeded id-hash order (reproducible anywhere)
@@ -437,8 +494,6 @@ def _routed_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed, broadca
     if len(sample) == 0:
         return spark.createDataFrame([], schema)
     pv = _matrix(sample["_tv"])
-    if pv.nbytes > broadcast_bytes:
-        raise ValueError("pivot table exceeds the broadcast bound")
     shared = spark.sparkContext.broadcast(PivotTree(pv))
     # written once: the sizes, the chunk plan and the search read the same assignment
     ca = cut_lineage(_assign_pivots(c, shared))
@@ -449,7 +504,6 @@ def _routed_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed, broadca
     radius[st["_pid"].to_numpy()] = st["r"].to_numpy()
     sizes = spark.sparkContext.broadcast((counts, radius))
     qa = cut_lineage(_route_queries(q, shared, sizes, opts["k"], opts["exclude_self"], opts["max_distance"], tau))
-    ca = ca.drop("_pd")
     # Partition sizes: one small row per pivot reaches the driver.
     visits = dict(qa.groupBy("_pid").count().collect())
     plan = [(int(p), int(max(1, -(-counts[p] // block_rows))), int(max(1, -(-n // block_rows)))) for p, n in visits.items() if counts[p]]
@@ -470,7 +524,7 @@ def _routed_path(q, c, schema, aux, opts, pivots, tau, block_rows, seed, broadca
             return pd.DataFrame({n: [] for n in names}, dtype=object)
         tids = cpdf["_tid"].to_numpy()
         qids = qpdf["_qid"].to_numpy()
-        r, ci, v = _score_block(_matrix(qpdf["_qv"]), qids, _matrix(cpdf["_tv"]), tids, **opts)
+        r, ci, v = _score_rings(_matrix(qpdf["_qv"]), qids, _matrix(cpdf["_tv"]), tids, pv[key[0]], cpdf["_pd"].to_numpy(), leaf_rows, opts)
         out = {"qid": qids[r], "tid": tids[ci], names[2]: v}
         for a in aux_names:
             out[a] = cpdf[a].to_numpy()[ci]

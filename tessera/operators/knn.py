@@ -15,8 +15,9 @@ from .features import unit_hash
 
 @dataclass
 class KNNParams:
-    """Estimator parameters (N8).  Tree sizes of the tree-based original become
-    the pivot count of the pivot-routed search."""
+    """Search parameters (N8).  The tree sizes of the tree-based original drive the pivot-routed search: its top tree
+    becomes ``top_tree_size / top_tree_leaf_size`` pivots, the leaves of its sub-trees become rings of
+    ``sub_tree_leaf_size`` candidates around a pivot."""
     k: int = 5
     features_col: str = "features"
     id_col: str = "id"
@@ -24,12 +25,12 @@ class KNNParams:
     weight_col: str | None = None
     aux_cols: list[str] = field(default_factory=list)
     max_distance: float | None = None          # N3: radius cap, default infinity
-    top_tree_size: int = 1000                 # sample size used to pick pivots
+    top_tree_size: int = 1000                 # with the leaf size: number of pivots where ``pivots`` is negative
     top_tree_leaf_size: int = 10
-    sub_tree_leaf_size: int = 30
+    sub_tree_leaf_size: int = 30              # candidates in a ring around a pivot
     buffer_size: float = -1.0                 # < 0: estimate tau (N7) when balance > 0
     balance_threshold: float = 0.7
-    pivots: int = 0                           # 0 = no routing (exact, blocked)
+    pivots: int = 0                           # 0 = no routing (exact, by slices); < 0 = from the tree sizes
     exact: bool = True                        # exact bound routing vs tau buffer
     block_rows: int = 4096
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
@@ -37,14 +38,17 @@ class KNNParams:
     exclude_self: bool = False
     force_blocked: bool = False               # skip the broadcast path (tests / benchmarks)
 
+    def pivot_count(self) -> int:
+        return self.pivots if self.pivots >= 0 else -(-self.top_tree_size // max(1, self.top_tree_leaf_size))
+
 
 def knn_pairs(query: DataFrame, train: DataFrame, p: KNNParams, tau: float | None = None) -> DataFrame:
     """N1 / N2 / N3 long form: ``id, neighbor_id, distance, rank, aux_*``."""
     aux = list(dict.fromkeys(p.aux_cols))
     res = blocks.top_k(query, train, p.k, qid=p.id_col, tid=p.id_col, qvec=p.features_col,
                        tvec=p.features_col, metric="l2", aux=aux, exclude_self=p.exclude_self,
-                       max_distance=p.max_distance, pivots=p.pivots,
-                       tau=None if p.exact else tau, block_rows=p.block_rows,
+                       max_distance=p.max_distance, pivots=p.pivot_count(),
+                       tau=None if p.exact else tau, block_rows=p.block_rows, leaf_rows=p.sub_tree_leaf_size,
                        broadcast_bytes=p.broadcast_bytes, seed=p.seed,
                        force_blocked=p.force_blocked)
     return res.withColumnRenamed("qid", p.id_col).withColumnRenamed("tid", "neighbor_id")
