@@ -1,14 +1,14 @@
 """Graph operators on two DataFrames: ``vertices(id, ...)`` and ``edges(src, dst, weight)``
 (G1-G8, A7, A10).  Iterations run on the driver as a loop of DataFrame steps,
 one counting action per step, lineage cut through the shared checkpoint
-folder every step."""
+folder every step; edges that every step reads are written once, bucketed."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, release
+from ..session import bucketed, cut_lineage, drop_bucketed, release
 from .stats import degrees
 
 
@@ -49,49 +49,75 @@ def min_incoming(edges: DataFrame, weight: str = "weight") -> DataFrame:
 
 
 # G3 ---------------------------------------------------------------------------
+MERGE_EVERY = 8  # steps after which the improvements so far become one table
+
+
+def _latest(tables: list[DataFrame]) -> DataFrame:
+    """Of all recorded distances of a vertex the one of the last step."""
+    rows = tables[0]
+    for t in tables[1:]:
+        rows = rows.unionByName(t)
+    best = rows.groupBy("id").agg(F.max_by(F.struct("d", "level", "pred"), "step").alias("b"), F.max("step").alias("step"))
+    return best.select("id", "b.d", "b.level", "b.pred", "step")
+
+
 def shortest_paths(vertices: DataFrame, edges: DataFrame, origin, weight: str = "weight",
-                   max_iter: int | None = None) -> DataFrame:
+                   max_iter: int | None = None, merge_every: int = MERGE_EVERY) -> DataFrame:
     """Single-source shortest paths following src -> dst.
 
     Frontier relaxation: only vertices whose distance improved in the last
-    step send candidates.  Result ``id, distance, predecessor`` for every
-    vertex; unreachable vertices get null distance and predecessor.  Of several
-    predecessors the smallest strictly nearer one is kept; one at the same
-    distance (an edge of weight 0) only if no nearer one exists, so following
-    predecessors always leads to the origin.  A negative weight is an error.
+    step send candidates.  A step writes the improved vertices alone; what is
+    known of the candidates is looked up in the tables of the earlier steps,
+    which become one table every ``merge_every`` steps.  The edges are written
+    once, bucketed by their source, so no step shuffles them.
+
+    Result ``id, distance, predecessor`` for every vertex; unreachable vertices
+    get null distance and predecessor.  Of several predecessors the smallest
+    strictly nearer one is kept; one at the same distance (an edge of weight 0)
+    only if no nearer one exists, so following predecessors always leads to the
+    origin.  A negative weight is an error.
     """
-    e = cut_lineage(edges.select("src", "dst", F.col(weight).alias("w")))
+    e = bucketed(edges.select("src", "dst", F.col(weight).alias("w")), "src")
     if e.filter("w < 0").limit(1).count():
-        release(e)
+        drop_bucketed(e)
         raise ValueError("shortest paths need weights of 0 or more")
     wtype = e.schema["w"].dataType
-    # one table per step: best known distance, whether the predecessor is as far, predecessor, whether it just improved
-    best = cut_lineage(vertices.filter(F.col("id") == F.lit(origin)).select(
-        "id", F.lit(0).cast(wtype).alias("d"), F.lit(False).alias("level"), F.lit(None).cast("long").alias("pred"), F.lit(True).alias("fresh")))
-    step = 0
-    while True:
+    # best known distance, whether the predecessor is as far, predecessor, step of the improvement
+    frontier = cut_lineage(vertices.filter(F.col("id") == F.lit(origin)).select(
+        "id", F.lit(0).cast(wtype).alias("d"), F.lit(False).alias("level"), F.lit(None).cast("long").alias("pred"), F.lit(0).alias("step")))
+    base, recent, step = None, [frontier], 0
+    while max_iter is None or step < max_iter:
         step += 1
-        frontier = best.filter("fresh").select("id", "d")
-        cand = (frontier.join(e, frontier.id == e.src)
+        cand = (frontier.select("id", "d").join(e, F.col("id") == F.col("src"))
                 .groupBy(F.col("dst").alias("id"))
                 .agg(F.min(F.struct((F.col("d") + F.col("w")).alias("d"), (F.col("w") == 0).alias("level"),
-                                    F.col("src").alias("pred"))).alias("c"))
-                .select("id", F.col("c.d").alias("cd"), F.col("c.level").alias("cl"), F.col("c.pred").alias("cp")))
-        m = best.join(cand, "id", "full_outer")
-        better = F.col("cd").isNotNull() & (
-            F.col("d").isNull() | (F.col("cd") < F.col("d")) |
-            ((F.col("cd") == F.col("d")) & F.col("pred").isNotNull() & ~F.col("cl") & (F.col("level") | (F.col("cp") < F.col("pred")))))
-        prev = best
-        best = cut_lineage(m.select("id", F.when(better, F.col("cd")).otherwise(F.col("d")).alias("d"),
-                                    F.when(better, F.col("cl")).otherwise(F.col("level")).alias("level"),
-                                    F.when(better, F.col("cp")).otherwise(F.col("pred")).alias("pred"),
-                                    better.alias("fresh")))
-        release(prev)
-        if best.filter("fresh").limit(1).count() == 0 or (max_iter is not None and step >= max_iter):
+                                    F.col("src").alias("pred"))).alias("c")))
+        now = F.struct("d", "level", "pred")
+        looked = cand.join(_latest(recent).select("id", now.alias("r")), "id", "left")
+        if base is not None:
+            looked = looked.join(base.select("id", now.alias("b")), "id", "left")
+        k = F.coalesce("r", "b") if base is not None else F.col("r")
+        better = k.isNull() | (F.col("c.d") < k["d"]) | (
+            (F.col("c.d") == k["d"]) & k["pred"].isNotNull() & ~F.col("c.level") & (k["level"] | (F.col("c.pred") < k["pred"])))
+        frontier = cut_lineage(looked.filter(better).select("id", "c.*", F.lit(step).alias("step")))
+        if frontier.limit(1).count() == 0:
+            release(frontier)
             break
-    release(e)
-    best = best.drop("fresh", "level")
-    return (vertices.select("id").join(best, "id", "left")
+        recent.append(frontier)
+        if len(recent) > merge_every:
+            merged = bucketed(_latest([*recent, base] if base is not None else recent), "id")
+            if base is not None:
+                drop_bucketed(base)
+            for t in recent[:-1]:
+                release(t)
+            base, recent = merged, [frontier]   # the frontier's rows stand in both, alike
+    drop_bucketed(e)
+    best = cut_lineage(_latest([*recent, base] if base is not None else recent))
+    for t in recent:
+        release(t)
+    if base is not None:
+        drop_bucketed(base)
+    return (vertices.select("id").join(best.select("id", "d", "pred"), "id", "left")
             .select("id", F.col("d").alias("distance"), F.col("pred").alias("predecessor")))
 
 
@@ -101,7 +127,8 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, steps: int) -> Data
     neighbours (messages along both directions of every edge); ties go to
     the smallest label; a vertex without neighbours keeps its label."""
     labels = vertices.select("id", F.col("id").alias("label"))
-    both = _both_ways(edges.select("src", "dst"))
+    # written once: the steps read the edges, not the plan that makes them
+    both = bucketed(_both_ways(edges.select("src", "dst")), "src")
     for _ in range(steps):
         msgs = both.join(labels.select(F.col("id").alias("src"), "label"), "src") \
                    .groupBy(F.col("dst").alias("id"), "label").agg(F.count(F.lit(1)).alias("n"))
@@ -111,6 +138,7 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, steps: int) -> Data
         labels = cut_lineage(labels.join(top, "id", "left")
                              .select("id", F.coalesce("nl", "label").alias("label")))
         release(prev)
+    drop_bucketed(both)
     return labels
 
 

@@ -101,6 +101,30 @@ def release(df: DataFrame | None) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def bucketed(df: DataFrame, key: str, rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """Write ``df`` once as a table bucketed and sorted by ``key`` in the shared checkpoint folder and read it back.
+
+    Joins and aggregates on ``key`` then need no shuffle of this table, however
+    often it is read.  :func:`drop_bucketed` ends it.
+    """
+    spark = df.sparkSession
+    stored = cut_lineage(df)
+    n = partitions_for(spark, stored.count(), rows_per_bucket)
+    path = scratch_path(spark, "bucketed")
+    name = "tessera_" + path.rsplit("-", 1)[1]
+    stored.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
+    release(stored)
+    out = spark.table(name)
+    out._tessera_path, out._tessera_table = path, name
+    return out
+
+
+def drop_bucketed(df: DataFrame) -> None:
+    """Forget a :func:`bucketed` table and delete its files."""
+    df.sparkSession.sql(f"drop table if exists {df._tessera_table}")
+    release(df)
+
+
 def row_count_at_most(df: DataFrame, limit: int) -> int | None:
     """Row count if it is <= ``limit``, else None; reads at most limit+1 rows."""
     n = df.limit(limit + 1).count()
