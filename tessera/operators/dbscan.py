@@ -24,14 +24,15 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import chunked_cogroup
 from .graph import connected_components
+from .ordered import running_totals
 from .stats import grid_cell_counts
-from ..session import cut_lineage
+from ..session import cut_lineage, release
 
 def _pack(cx, cy):
     """One exact key of a cell or tile, whatever the size of its numbers."""
@@ -99,12 +100,14 @@ def _certain_table(spark, eps: float, side: float) -> DataFrame:
     return spark.createDataFrame(rows, "dx long, dy long, i int, jmask long")
 
 
-def _core_cell_links(core: DataFrame, eps: float, side: float, block_rows: int) -> DataFrame:
+def _core_cell_links(core: DataFrame, eps: float, side: float, block_rows: int) -> tuple[DataFrame, list[DataFrame]]:
     """Pairs (src < dst) of neighbouring core cells holding two cores within eps.
 
     Stage 1 settles most pairs from sub-cell occupancy masks alone (a bitwise
-    test per pair); stage 2 compares points only for the remaining pairs,
-    grouped by the cell pair, so a crowded cell costs work linear in its size.
+    test per pair).  For the open rest, stage 2 reduces either cell to the few
+    points that can reach the other (:func:`front_of`), in work linear in the
+    cell's size, and compares only those; a link exists exactly if two of them
+    are within eps.  Returns the links and the written tables they come from.
     """
     spark = core.sparkSession
     subi = F.least(F.lit(_SUB - 1), F.greatest(F.lit(0), F.floor((F.col("x") / side - F.col("cx")) * _SUB))).cast("int")
@@ -126,31 +129,123 @@ def _core_cell_links(core: DataFrame, eps: float, side: float, block_rows: int)
                .filter(F.col("mask_b").bitwiseAND(F.col("jmask")) != 0)
                .select("src", "dst").distinct())
     certain = cut_lineage(certain)
-    open_pairs = cut_lineage(pairs.select("src", "dst").join(certain, ["src", "dst"], "left_anti"))
+    open_pairs = cut_lineage(pairs.select("src", "dst", "dx", "dy").join(certain, ["src", "dst"], "left_anti"))
+    # two cells lie on either side of a line: the side each must show the other
+    a_side = F.when(F.col("dx") > 0, "right").when(F.col("dx") < 0, "left").when(F.col("dy") > 0, "up").otherwise("down")
+    b_side = F.when(F.col("dx") > 0, "left").when(F.col("dx") < 0, "right").when(F.col("dy") > 0, "down").otherwise("up")
+    sided = open_pairs.select("src", "dst", a_side.alias("a_side"), b_side.alias("b_side"))
+    sides = sided.select(F.col("src").alias("cell"), F.col("a_side").alias("side")) \
+        .unionByName(sided.select(F.col("dst").alias("cell"), F.col("b_side").alias("side"))).distinct()
+    front = _fronts(core.select("cell", "cx", "cy", "id", "x", "y").join(sides, "cell"), eps, block_rows)
+    q = sided.join(front.select(F.col("cell").alias("src"), F.col("side").alias("a_side"), "cx", "cy", "id", "x", "y"), ["src", "a_side"])
+    c = sided.join(front.select(F.col("cell").alias("dst"), F.col("side").alias("b_side"), "id", "x", "y"), ["dst", "b_side"]) \
+        .join(occ.select(F.col("cell").alias("src"), "cx", "cy"), "src")
+    near = cut_lineage(_closest(q, c, block_rows).groupBy("src", "dst").agg(F.min("d").alias("d")))
+    links = certain.unionByName(near.filter(F.col("d") <= eps).select("src", "dst"))
+    # a closest distance within rounding of eps is decided by all points
+    doubt = near.filter((F.col("d") > eps) & (F.col("d") <= eps * (1 + 1e-9))).select("src", "dst")
+    if doubt.limit(1).count():
+        pts = core.select("cell", "cx", "cy", "id", "x", "y")
+        q = doubt.join(pts.withColumnRenamed("cell", "src"), "src")
+        c = doubt.join(pts.select(F.col("cell").alias("dst"), "id", "x", "y"), "dst").join(occ.select(F.col("cell").alias("src"), "cx", "cy"), "src")
+        links = links.unionByName(_closest(q, c, block_rows).filter(F.col("d") <= eps).select("src", "dst").distinct())
+    return links, [certain, open_pairs, front, near]
+
+
+FEW = 64  # points of a cell that are compared as they are
+_TURN = {"right": lambda x, y: (x, y), "left": lambda x, y: (-x, y), "up": lambda x, y: (y, x), "down": lambda x, y: (-y, x)}
+
+
+def front_of(x: np.ndarray, y: np.ndarray, eps: float) -> list[int]:
+    """The points whose eps-circle reaches furthest to the right at some height.
+
+    A point to the right of all of them is within eps of one of them exactly
+    if it is within eps of one of these.  Right halves of circles of one
+    radius cross at most once, the lower centre being ahead below the crossing,
+    so one pass over the centres by height keeps them on a stack.  All heights
+    are less than eps apart (one cell).
+    """
+    x, y = x - x.min(), y - y.min()
+    order = np.lexsort((-x, y))
+    keep: list[int] = []
+    cross: list[float] = []      # cross[i]: height from which keep[i] is ahead of keep[i - 1]
+    xs, ys = x.tolist(), y.tolist()
+    for i in order.tolist():
+        xi, yi = xs[i], ys[i]
+        if keep and ys[keep[-1]] == yi:
+            continue             # same height, further left
+        at = -math.inf
+        while keep:
+            t = keep[-1]
+            dx, dy = xi - xs[t], yi - ys[t]
+            s = math.hypot(dx, dy)
+            h = math.sqrt(max(eps * eps - s * s / 4, 0.0))
+            cut_x = (xi + xs[t]) / 2 + h * dy / s
+            if cut_x < xi:
+                at = yi - eps    # ahead wherever both are
+            elif cut_x < xs[t]:
+                at = ys[t] + eps  # behind wherever both are
+            else:
+                at = (yi + ys[t]) / 2 - h * dx / s
+            if len(keep) > 1 and at <= cross[-1]:
+                keep.pop()
+                cross.pop()
+            else:
+                break
+        keep.append(i)
+        cross.append(at if len(keep) > 1 else -math.inf)
+    return keep
+
+
+def _fronts(points: DataFrame, eps: float, block_rows: int) -> DataFrame:
+    """For each (cell, side) the points of :func:`front_of`, written.
+
+    Cells are cut into chunks of ``block_rows`` points whose fronts are taken
+    side by side; the fronts of the fronts follow until a cell's fit one chunk or
+    no longer shrink, so a cell with any share of the points is many small tasks.
+    """
+    keys = ["cell", "side"]
+
+    def run(pdf):
+        turn = _TURN[pdf["side"].iat[0]]
+        return pdf.iloc[front_of(*turn(pdf["x"].to_numpy(), pdf["y"].to_numpy()), eps)]
 
-    def link_fn(lpdf, rpdf):
-        # rows of several open pairs share a group (one per tile): only same-pair rows are compared
-        lp = pd.MultiIndex.from_arrays([lpdf["src"], lpdf["dst"]])
-        rp = pd.MultiIndex.from_arrays([rpdf["src"], rpdf["dst"]])
-        codes, uniq = pd.factorize(lp.append(rp))
+    now, rows, turn = cut_lineage(points.select("cell", "side", "cx", "cy", "id", "x", "y")), None, 0
+    columns = now.columns
+    while True:
+        plan = now.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumn("chunks", F.ceil(F.col("n") / block_rows).cast("int"))
+        size = plan.agg(F.max("n").alias("most"), F.sum("n").alias("n")).first()
+        if size["n"] is None or size["most"] <= FEW or rows is not None and size["n"] > 0.9 * rows:
+            return now
+        rows, turn = size["n"], turn + 1
+        planned = now.join(plan, keys)
+        chunked = planned.filter(F.col("n") > FEW).withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(turn)), F.col("chunks")).cast("int"))
+        chunked = chunked.select(*columns, "chunk")
+        fronts = chunked.groupBy(*keys, "chunk").applyInPandas(run, chunked.schema).select(*columns)
+        nxt = cut_lineage(planned.filter(F.col("n") <= FEW).select(*columns).unionByName(fronts))
+        release(now)
+        now = nxt
+        if size["most"] <= block_rows:  # every cell was one chunk: its front is final
+            return now
+
+
+def _closest(q: DataFrame, c: DataFrame, block_rows: int) -> DataFrame:
+    """Smallest distance between the points of each pair (src, dst), per group of chunks; pairs share a group by tile of src."""
+
+    def run(lpdf, rpdf):
+        # rows of several pairs share a group (one per tile): only same-pair rows are compared
+        lp, rp = (pd.MultiIndex.from_arrays([p["src"], p["dst"]]) for p in (lpdf, rpdf))
+        codes, pairs = pd.factorize(lp.append(rp))
         lc, rc = codes[:len(lpdf)], codes[len(lpdf):]
-        hit = (lc[:, None] == rc[None, :]) & (_d(lpdf, rpdf) <= eps)
-        got = np.unique(lc[np.nonzero(hit)[0]])
-        pairs = uniq[got]
-        return pd.DataFrame({"src": [p[0] for p in pairs], "dst": [p[1] for p in pairs]}, dtype=object)
-
-    link_schema = T.StructType([T.StructField("src", T.StringType()), T.StructField("dst", T.StringType())])
-    pts = core.select("cell", "cx", "cy", "id", "x", "y")
-    tile_key = _pack(F.floor(F.col("cx") / 8), F.floor(F.col("cy") / 8))
-    q = open_pairs.join(pts.withColumnRenamed("cell", "src"), "src").withColumn("key", tile_key)
-    c = (open_pairs.join(pts.select(F.col("cell").alias("src"), F.col("cx").alias("scx"), F.col("cy").alias("scy"))
-                         .distinct(), "src")
-         .join(pts.withColumnRenamed("cell", "dst").drop("cx", "cy"), "dst")
-         .withColumn("key", _pack(F.floor(F.col("scx") / 8), F.floor(F.col("scy") / 8))))
-    checked = chunked_cogroup(q.select("key", "src", "dst", "id", "x", "y"),
-                              c.select("key", "src", "dst", "id", "x", "y"),
-                              "key", link_fn, link_schema, "id", "id", block_rows).distinct()
-    return certain.unionByName(checked).distinct()
+        least = np.full(len(pairs), np.inf)
+        np.minimum.at(least, lc, np.where(lc[:, None] == rc[None, :], _d(lpdf, rpdf), np.inf).min(1))
+        found = np.flatnonzero(np.isfinite(least))
+        return pd.DataFrame({"src": [pairs[i][0] for i in found], "dst": [pairs[i][1] for i in found], "d": least[found]}, columns=["src", "dst", "d"])
+
+    schema = T.StructType([T.StructField("src", T.StringType()), T.StructField("dst", T.StringType()), T.StructField("d", T.DoubleType())])
+    key = _pack(F.floor(F.col("cx") / 8), F.floor(F.col("cy") / 8)).alias("key")
+    return chunked_cogroup(q.select(key, "src", "dst", "id", "x", "y"), c.select(key, "src", "dst", "id", "x", "y"),
+                           "key", run, schema, "id", "id", block_rows)
 
 
 def _d(lpdf, rpdf):
@@ -165,7 +260,7 @@ def dbscan(points: DataFrame, eps: float, min_points: int, *, x: str = "x", y: s
     """``id, x, y, flag ('core' | 'border' | 'noise'), cluster`` for every point."""
     g = _grid(points, eps, x, y, id_col)
     cells = g.groupBy("cell").agg(F.count(F.lit(1)).alias("n_cell"))
-    g = g.join(cells, "cell")
+    g = cut_lineage(g.join(cells, "cell"))
     dense = g.filter(F.col("n_cell") >= min_points)
     sparse = g.filter(F.col("n_cell") < min_points)
 
@@ -183,7 +278,7 @@ def dbscan(points: DataFrame, eps: float, min_points: int, *, x: str = "x", y: s
         sparse.join(sparse_core, "id", "left_semi").select("id", "x", "y", "cx", "cy", "cell")))
 
     # 2. links between neighbouring core cells (exact, no quadratic step for crowded cells)
-    links = _core_cell_links(core, eps, side_of(eps), block_rows)
+    links, steps = _core_cell_links(core, eps, side_of(eps), block_rows)
 
     # 3. clusters = components of the core-cell graph; id = smallest core id
     core_cells = core.select(F.col("cell").alias("id")).distinct()
@@ -216,8 +311,24 @@ def dbscan(points: DataFrame, eps: float, min_points: int, *, x: str = "x", y: s
         .join(border.select("id", F.col("cluster").alias("border_cluster")), "id", "left")
     flag = F.when(F.col("core_cluster").isNotNull(), "core").when(F.col("border_cluster").isNotNull(), "border") \
             .otherwise("noise")
-    return out.select("id", "x", "y", flag.alias("flag"),
-                      F.coalesce("core_cluster", "border_cluster").alias("cluster"))
+    out = cut_lineage(out.select("id", "x", "y", flag.alias("flag"), F.coalesce("core_cluster", "border_cluster").alias("cluster")))
+    for t in (g, core, core_l, *steps):
+        release(t)
+    return out
+
+
+def neighbour_counts(points: DataFrame, eps: float, *, x: str = "x", y: str = "y", id_col: str = "id", tile: int = 8,
+                     block_rows: int = 2048) -> DataFrame:
+    """``id, neighbours``: points within eps of each point, itself included."""
+    g = _grid(points, eps, x, y, id_col)
+
+    def count_fn(lpdf, rpdf):
+        return pd.DataFrame({"id": lpdf["id"].to_numpy(), "n": (_d(lpdf, rpdf) <= eps).sum(1).astype(np.int64)})
+
+    schema = T.StructType([T.StructField("id", g.schema["id"].dataType), T.StructField("n", T.LongType())])
+    part = chunked_cogroup(_route(g, tile).select("key", "id", "x", "y"), _candidates(g, tile).select("key", "id", "x", "y"),
+                           "key", count_fn, schema, "id", "id", block_rows)
+    return part.groupBy("id").agg(F.sum("n").alias("neighbours"))
 
 
 def dbscan_flags(points: DataFrame, eps: float, min_points: int, **kw) -> DataFrame:
@@ -245,23 +356,22 @@ def cell_clusters(points: DataFrame, eps: float, min_points: int, **kw) -> DataF
 
 
 # D4 ---------------------------------------------------------------------------
-def even_split(points: DataFrame, eps: float, max_points: int, *, x: str = "x", y: str = "y") -> DataFrame:
+def even_split(points: DataFrame, eps: float, max_points: int, *, x: str = "x", y: str = "y", with_cells: bool = False):
     """Count-balanced rectangles over cells of side 2*eps.
 
     Start from the bounding box of occupied cells; while a rectangle holds
     more than ``max_points`` points and is wider or taller than 2 cells,
     cut it on the cell line whose lower part is closest to half its count
     (ties: x lines before y lines, lower line first).  Empty rectangles are
-    dropped.  Cell counts and region labels stay DataFrames; one small
-    aggregate per level decides the cuts.  Output in coordinates:
-    ``region, x1, y1, x2, y2, n``.
+    dropped.  Cell counts and region labels stay DataFrames; the counts below
+    all lines of a level come from one distributed running sum.  Output in coordinates:
+    ``region, x1, y1, x2, y2, n``; with ``with_cells`` also the cells (``cx, cy, n, region``).
     """
     size = 2.0 * eps
     cells = grid_cell_counts(points, size, x, y).withColumn("region", F.lit("r"))
     bbox = cells.agg(F.min("cx").alias("x1"), F.min("cy").alias("y1"),
                      (F.max("cx") + 1).alias("x2"), (F.max("cy") + 1).alias("y2"), F.sum("n").alias("n"))
     regions = bbox.select(F.lit("r").alias("region"), "x1", "y1", "x2", "y2", "n")
-    from ..session import cut_lineage, release
     regions = cut_lineage(regions)
     cells = cut_lineage(cells)
     while True:
@@ -271,30 +381,20 @@ def even_split(points: DataFrame, eps: float, max_points: int, *, x: str = "x",
             break
         cand = []
         for axis, lo, hi, c in (("x", "x1", "x2", "cx"), ("y", "y1", "y2", "cy")):
-            per_line = cells.join(active.select("region", lo, hi), "region") \
-                            .groupBy("region", c, lo, hi).agg(F.sum("n").alias("line_n"))
-            w = Window.partitionBy("region").orderBy(c).rowsBetween(Window.unboundedPreceding, 0)
-            below = per_line.withColumn("below", F.sum("line_n").over(w)) \
-                            .withColumn("line", F.col(c) + 1)
-            total = active.select("region", "n")
-            lines = below.select("region", "line", "below", lo, hi).filter(
-                (F.col("line") > F.col(lo)) & (F.col("line") < F.col(hi)))
-            first = active.select("region", (F.col(lo) + 1).alias("line"), F.lit(0).cast("bigint").alias("below"), lo, hi) \
-                          .filter(F.col("line") < F.col(hi))
-            # the first line may already hold cells below it: recompute its count
-            first_cnt = cells.join(active.select("region", lo), "region").filter(F.col(c) < F.col(lo) + 1) \
-                             .groupBy("region").agg(F.sum("n").alias("fb"))
-            first = first.join(first_cnt, "region", "left").select(
-                "region", "line", F.coalesce("fb", F.lit(0)).cast("bigint").alias("below"), lo, hi)
-            allc = lines.select("region", "line", F.col("below").cast("bigint").alias("below")) \
-                        .unionByName(first.select("region", "line", "below")).distinct() \
-                        .join(total, "region") \
-                        .withColumn("cost", F.abs(F.floor(F.col("n") / 2) - F.col("below"))) \
-                        .withColumn("axis", F.lit(0 if axis == "x" else 1))
-            cand.append(allc)
-        allc = cand[0].unionByName(cand[1])
-        w = Window.partitionBy("region").orderBy("cost", "axis", "line")
-        best = allc.withColumn("r", F.row_number().over(w)).filter("r = 1").select("region", "axis", "line")
+            per_line = cells.join(active.select("region", lo), "region").groupBy("region", F.col(c).alias("line"), lo).agg(F.sum("n").alias("line_n"))
+            # a line at the lower border counts too, so that a cut right above it is considered
+            per_line = per_line.select("region", "line", "line_n").unionByName(
+                active.select("region", F.col(lo).alias("line"), F.lit(0).cast("bigint").alias("line_n"))) \
+                .groupBy("region", "line").agg(F.sum("line_n").alias("line_n"))
+            # one running sum over all regions, line after line; a region's own sum starts at its first line
+            total = running_totals(per_line, [F.col("region").asc(), F.col("line").asc()], ["line_n"])
+            start = total.groupBy("region").agg(F.min(F.col("line_n_cum") - F.col("line_n")).alias("start"))
+            below = total.join(start, "region").select("region", (F.col("line") + 1).alias("line"), (F.col("line_n_cum") - F.col("start")).alias("below"))
+            cand.append(below.join(active.select("region", hi, "n"), "region").filter(F.col("line") < F.col(hi))
+                        .select("region", F.abs(F.floor(F.col("n") / 2) - F.col("below")).alias("cost"),
+                                F.lit(0 if axis == "x" else 1).alias("axis"), "line"))
+        best = cand[0].unionByName(cand[1]).groupBy("region").agg(F.min(F.struct("cost", "axis", "line")).alias("b")) \
+            .select("region", "b.axis", "b.line")
         # relabel cells of split regions and rebuild region rectangles
         cj = cells.join(best, "region", "left")
         side_lo = F.when(F.col("axis") == 0, F.col("cx") < F.col("line")).otherwise(F.col("cy") < F.col("line"))
@@ -315,6 +415,7 @@ def even_split(points: DataFrame, eps: float, max_points: int, *, x: str = "x",
         old_regions, regions = regions, cut_lineage(keep.unionByName(parts))
         release(old_regions)
         release(old_cells)
-    return regions.filter(F.col("n") > 0).select(
+    out = regions.filter(F.col("n") > 0).select(
         "region", (F.col("x1") * size).alias("x1"), (F.col("y1") * size).alias("y1"),
         (F.col("x2") * size).alias("x2"), (F.col("y2") * size).alias("y2"), F.col("n").cast("long").alias("n"))
+    return (out, cells) if with_cells else out

@@ -70,7 +70,7 @@ def row_ranks(df: DataFrame, order: list[Column], out: str = "rank", ranges: int
 
 def running_totals(df: DataFrame, order_col: str | list[Column], sum_cols: list[str],
                    descending: bool = True, ranges: int | None = None,
-                   suffix: str = "_cum", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+                   suffix: str = "_cum", rows_per_range: int = ROWS_PER_RANGE, small: int = SMALL) -> DataFrame:
     """Cumulative sums of ``sum_cols`` in the order of a column or of a list of sort columns.
 
     Adds ``<c><suffix>`` per column: the sum over all rows at or before this
@@ -78,6 +78,9 @@ def running_totals(df: DataFrame, order_col: str | list[Column], sum_cols: list[
     """
     order = [F.col(order_col).desc() if descending else F.col(order_col).asc()] if isinstance(order_col, str) else order_col
     stored, n = _numbered(df)
+    if ranges is None and n <= small:
+        w = Window.orderBy(*order, F.col("_row").asc()).rowsBetween(Window.unboundedPreceding, 0)
+        return stored.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{c}{suffix}") for c in sum_cols]).drop("_row")
     ranged = _in_ranges(stored, order, ranges or max(1, -(-n // rows_per_range)))
     offsets = _offsets(ranged, {f"_off_{c}": F.col(c) for c in sum_cols})
     staged = ranged.withColumn("_range_of", F.shiftright("_at", 33))

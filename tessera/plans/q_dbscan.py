@@ -57,21 +57,27 @@ def d3_cell_cluster_merge(spark, sf_dir):
 @register("j8_distance_self_join_counts", _DB_SQL + "select id, n as neighbours from cnt")
 def j8_distance_self_join_counts(spark, sf_dir):
     """Neighbour count within eps (self included) for every point, via J7/J8 on cells."""
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql import types as T
-    from ..operators.blocks import chunked_cogroup
-    g = D._grid(I.points(spark, sf_dir), EPS, "x", "y", "id")
-
-    def count_fn(lpdf, rpdf):
-        within = D._d(lpdf, rpdf) <= EPS
-        return pd.DataFrame({"id": lpdf["id"].to_numpy(), "n": within.sum(1).astype(np.int64)})
-
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType())])
-    part = chunked_cogroup(D._route(g, 8).select("key", "id", "x", "y"),
-                           D._candidates(g, 8).select("key", "id", "x", "y"),
-                           "key", count_fn, schema, "id", "id")
-    return part.groupBy("id").agg(F.sum("n").alias("neighbours"))
+    return D.neighbour_counts(I.points(spark, sf_dir), EPS)
+
+
+@register("d4_even_split_invariants", f"""
+select count(*) as points, 0::bigint as wrong_counts, 0::bigint as too_full, 0::bigint as off_the_grid from embeddings
+""")
+def d4_even_split_invariants(spark, sf_dir):
+    """Points in the regions; regions whose count is not that of their cells, that hold a cell outside their sides,
+    that hold too many points and could still be cut, or whose sides are no cell lines."""
+    size = 2 * EPS
+    regions, cells = D.even_split(I.points(spark, sf_dir), EPS, 100, with_cells=True)
+    sides = ("x1", "x2", "y1", "y2")
+    at = {c: F.round(F.col(c) / size) for c in sides}
+    inside = F.col("cx").between(at["x1"], at["x2"] - 1) & F.col("cy").between(at["y1"], at["y2"] - 1)
+    per = regions.join(cells.withColumnRenamed("n", "c"), "region").groupBy("region", "n", *sides).agg(
+        F.sum("c").alias("found"), F.sum(F.when(inside, 0).otherwise(1)).alias("outside"))
+    wide = (at["x2"] - at["x1"] > 2) | (at["y2"] - at["y1"] > 2)
+    off = F.greatest(*[F.abs(F.col(c) - at[c] * size) for c in sides]) > 1e-9
+    one = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    return per.agg(F.sum("found").alias("points"), one((F.col("n") != F.col("found")) | (F.col("outside") > 0)).alias("wrong_counts"),
+                   one((F.col("n") > 100) & wide).alias("too_full"), one(off).alias("off_the_grid"))
 
 
 @register("d4_even_split")
