@@ -10,7 +10,10 @@ on ``TRAINING_PAGES`` labelled pages, which a seeded generator writes in many
 layouts; they are fitted once per run on the driver and are a few kilobytes.
 
 Scripts, styles, comments in the markup, the head and form controls are no
-blocks.  Character references are decoded, white space inside a block becomes
+blocks.  Such an element ends at its own closing tag; one that closes itself, or
+that has no closing tag before the next of its kind, takes along only the text
+up to the next tag (a script or style: the rest of the page), and a head without
+end is not skipped as such.  Character references are decoded, white space inside a block becomes
 one space, blocks are joined in page order by a newline.
 
 Defined cases: a null or empty html gives the empty text and 0; broken markup
@@ -24,6 +27,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
@@ -40,15 +44,16 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
                   "form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
                   "thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|head|title|textarea|select|button|svg|iframe|object|option"
+SKIPPED = frozenset("script style noscript template head title textarea select button svg iframe object option".split())
+NESTED = frozenset("svg object template".split())
 # an opening tag ends an open element of the second set, up to the nearest of the third
 CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
           "td": ("td th", "tr table"), "th": ("td th", "tr table")}
 CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSES.items()}
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|([^<]+|<)", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)>"
+    r"|<[!?/][^>]*+>|([^<]++|<)", re.S)
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -62,18 +67,49 @@ def _element(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-@lru_cache(50_000)
-def _ancestors(stack: tuple) -> tuple[str, ...]:
-    return tuple(sorted({f for e in stack for f in e})) + (("p:" + stack[-1][0][2:]) if stack else "p:",)
+class _Skips:
+    """Where the skipped elements of a page end; the tags of a kind are looked up once, when the first is met."""
+
+    def __init__(self, page: str):
+        self.page, self.tags = page, {}
+
+    def end(self, tag: str, at: int) -> int:
+        """Position behind the element that opens before ``at`` (the end of its tag)."""
+        if tag not in self.tags:
+            found = [(m.start(), m.end(), m[0][1] == "/") for m in re.finditer(rf"<{tag}\b|</{tag}\s*[^<>]*>", self.page, re.I)]
+            self.tags[tag] = found, [f[0] for f in found]
+        found, starts = self.tags[tag]
+        open_ = 1
+        for i in range(bisect_left(starts, at), len(found)):
+            _, end, closes = found[i]
+            if closes:
+                open_ -= 1
+                if not open_:
+                    body = self.page.find("<body", at, end) if tag == "head" else -1
+                    return end if body < 0 else body
+            elif tag in NESTED:
+                open_ += 1
+            elif tag not in ("script", "style"):
+                break
+        if tag in ("script", "style"):
+            return len(self.page)
+        if tag == "head":
+            return at
+        nxt = self.page.find("<", at)
+        return len(self.page) if nxt < 0 else nxt
 
 
 def blocks(page: str) -> list[tuple[str, tuple, float]]:
-    """(text, ancestors, share of link characters) of the page's leaf blocks in order."""
+    """(text, ancestor features, share of link characters) of the page's leaf blocks in order."""
     out: list[tuple[str, tuple, float]] = []
-    tags: list[str] = []
-    stack: list[tuple[str, ...]] = []
+    tags: list[str] = []                 # open elements, innermost last
+    features: list[tuple[str, ...]] = []
+    count: dict[str, int] = {}           # open elements by tag
+    held: dict[str, int] = {}            # features of the open block elements
+    around: list[str] = []               # tags of the open block elements
     run: list[str] = []
-    linked, links, where = 0, 0, None
+    linked, where, known = 0, None, None
+    skips = _Skips(page)
 
     def end():
         nonlocal linked, where
@@ -85,48 +121,78 @@ def blocks(page: str) -> list[tuple[str, tuple, float]]:
         linked, where = 0, None
 
     def drop(to: int):
-        nonlocal links
-        links -= tags[to:].count("a")
-        del tags[to:], stack[to:]
-
-    for m in _TOKEN.finditer(page):
-        text = m[5]
+        nonlocal known
+        while len(tags) > to:
+            tag, own = tags.pop(), features.pop()
+            count[tag] -= 1
+            if tag in BLOCK:
+                around.pop()
+                known = None
+                for f in set(own):
+                    held[f] -= 1
+                    if not held[f]:
+                        del held[f]
+
+    def last(of) -> int:
+        """Place of the innermost open element among ``of``, which holds at least one."""
+        i = len(tags) - 1
+        while tags[i] not in of:
+            i -= 1
+        return i
+
+    at, closed = 0, page.rfind(">")
+    while at < len(page):
+        if at > closed and page[at] == "<" and not page.startswith("<!--", at):
+            text, at = "<", at + 1       # no tag can end any more
+        else:
+            m = _TOKEN.match(page, at)
+            at = m.end()
+            text = m[7]
         if text is not None:
             if where is None and not text.isspace():
-                where = tuple(e for t, e in zip(tags, stack) if t in BLOCK)
+                if known is None:
+                    known = (*sorted(held), "p:" + (around[-1] if around else ""))
+                where = known
             run.append(text)
-            if links:
+            if count.get("a"):
                 linked += len(text)
             continue
-        tag = m[3]
+        tag = m[2] or m[5]
         if tag is None:
-            if m[1] is None:
-                continue
             run.append(" ")
             continue
         tag = tag.lower()
+        closing, rest = (m[1], m[3]) if m[2] else (m[4], m[6])
+        if tag in SKIPPED:
+            if not closing and (not rest.endswith("/") or tag in ("script", "style", "title", "textarea")):
+                at = skips.end(tag, at)
+            continue
         if tag in BLOCK:
             end()
-        if m[2]:
-            if tag in tags:
-                drop(len(tags) - 1 - tags[::-1].index(tag))
+        if closing:
+            if count.get(tag):
+                drop(last((tag,)))
             continue
         if tag == "br":
             run.append(" ")
-        if tag in BLOCK and "p" in tags:
-            drop(len(tags) - 1 - tags[::-1].index("p"))
+        if tag in BLOCK and count.get("p"):
+            drop(last(("p",)))
         if tag in CLOSES:
             mine, border = CLOSES[tag]
-            for i in range(len(tags) - 1, -1, -1):
-                if tags[i] in border:
-                    break
+            if any(count.get(t) for t in mine):
+                i = last(mine | border)
                 if tags[i] in mine:
                     drop(i)
-                    break
-        if tag not in VOID and not m[4].endswith("/"):
+        if tag not in VOID and not rest.endswith("/"):
+            own = _element(tag, rest)
             tags.append(tag)
-            stack.append(_element(tag, m[4]))
-            links += tag == "a"
+            features.append(own)
+            count[tag] = count.get(tag, 0) + 1
+            if tag in BLOCK:
+                around.append(tag)
+                known = None
+                for f in set(own):
+                    held[f] = held.get(f, 0) + 1
     end()
     return out
 
@@ -139,7 +205,7 @@ def describe(text: str, where: tuple, linked: float) -> list[str]:
     """Features of one block."""
     words = text.count(" ") + 1
     marks = text.count(".") + text.count(",") + text.count(";") + text.count("?") + text.count("!")
-    return [*_ancestors(where or ()), f"n:{min(_size(words), 7)}", f"l:{int(linked * 4)}", f"e:{text[-1] in '.!?:;»”'}",
+    return [*(where or ("p:",)), f"n:{min(_size(words), 7)}", f"l:{int(linked * 4)}", f"e:{text[-1] in '.!?:;»”'}",
             f"m:{min(4, marks * 8 // words)}", f"c:{'©' in text or '(c)' in text}", f"s:{'|' in text or '·' in text or '»' in text}", "b"]
 
 
@@ -350,10 +416,28 @@ def labelled_page(seed: int) -> tuple[str, list[bool]]:
     return page + r.choice(("</body></html>", "", "</html>")), lab
 
 
+def short_page(seed: int) -> tuple[str, list[bool]]:
+    """A page with little but an article of one or two paragraphs, in a box or bare."""
+    r = random.Random(f"short {seed}")
+    word = lambda: "".join(r.choice(("ba", "ler", "to", "sen", "mi", "ka", "du", "ner")) for _ in range(r.randint(1, 3)))
+    prose = lambda: " ".join(" ".join(word() for _ in range(r.randint(4, 16))).capitalize() + "." for _ in range(r.randint(1, 5)))
+    inner, lab = "", []
+    if r.random() < 0.3:
+        inner, lab = f"<h1>{word()} {word()}</h1>", [True]
+    for _ in range(r.choice((1, 1, 1, 2))):
+        inner += f"<p>{prose()}</p>"
+        lab.append(True)
+    box = r.choice(("article", "main", "div", "", f'div class="{r.choice(_NAMES["main"])}"'))
+    page = f"<{box}>{inner}</{box.split(' ')[0]}>" if box else inner
+    if r.random() < 0.4:
+        page += f"<footer>&copy; {word()}</footer>"
+        lab.append(False)
+    return f"<html><body>{page}</body></html>", lab
+
+
 def training_set(n: int = TRAINING_PAGES) -> list[tuple[list[list[str]], list[bool]]]:
     out = []
-    for seed in range(n):
-        page, lab = labelled_page(seed)
+    for page, lab in [labelled_page(seed) for seed in range(n)] + [short_page(seed) for seed in range(n // 12)]:
         found = blocks(page)
         if len(found) == len(lab):          # pages whose random markup runs two blocks together are not used
             out.append(([describe(*b) for b in found], lab))
