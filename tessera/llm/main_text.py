@@ -27,7 +27,6 @@ from __future__ import annotations
 import html
 import random
 import re
-from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
@@ -71,26 +70,27 @@ class _Skips:
     """Where the skipped elements of a page end; the tags of a kind are looked up once, when the first is met."""
 
     def __init__(self, page: str):
-        self.page, self.tags = page, {}
-
-    def end(self, tag: str, at: int) -> int:
-        """Position behind the element that opens before ``at`` (the end of its tag)."""
-        if tag not in self.tags:
-            found = [(m.start(), m.end(), m[0][1] == "/") for m in re.finditer(rf"<{tag}\b|</{tag}\s*[^<>]*>", self.page, re.I)]
-            self.tags[tag] = found, [f[0] for f in found]
-        found, starts = self.tags[tag]
-        open_ = 1
-        for i in range(bisect_left(starts, at), len(found)):
-            _, end, closes = found[i]
-            if closes:
-                open_ -= 1
-                if not open_:
-                    body = self.page.find("<body", at, end) if tag == "head" else -1
-                    return end if body < 0 else body
-            elif tag in NESTED:
-                open_ += 1
-            elif tag not in ("script", "style"):
-                break
+        self.page, self.ends = page, {}
+
+    def end(self, tag: str, start: int, at: int) -> int:
+        """Position behind the element whose opening tag stands from ``start`` to ``at``."""
+        if tag not in self.ends:
+            ends, open_ = {}, []
+            for m in re.finditer(rf"<{tag}\b(?:[^<>]*/>)?|</{tag}\s*[^<>]*>", self.page, re.I):
+                if m[0][1] != "/":
+                    if m[0].endswith("/>") and tag not in ("script", "style", "title", "textarea"):
+                        continue             # closes itself
+                    if tag not in NESTED and tag not in ("script", "style"):
+                        open_.clear()        # the one before has no end of its own
+                    if tag in NESTED or not open_:
+                        open_.append(m.start())
+                elif open_:
+                    ends[open_.pop()] = m.end()
+            self.ends[tag] = ends
+        end = self.ends[tag].get(start)
+        if end is not None:
+            body = self.page.find("<body", at, end) if tag == "head" else -1
+            return end if body < 0 else body
         if tag in ("script", "style"):
             return len(self.page)
         if tag == "head":
@@ -165,7 +165,7 @@ def blocks(page: str) -> list[tuple[str, tuple, float]]:
         closing, rest = (m[1], m[3]) if m[2] else (m[4], m[6])
         if tag in SKIPPED:
             if not closing and (not rest.endswith("/") or tag in ("script", "style", "title", "textarea")):
-                at = skips.end(tag, at)
+                at = skips.end(tag, m.start(), at)
             continue
         if tag in BLOCK:
             end()

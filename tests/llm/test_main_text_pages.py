@@ -16,6 +16,7 @@ PAGES = {
     "head that ends after the body begins": "<html><head><title>T</title><body>" + ARTICLE + "</head>",
     "svg closes itself": "<body><svg width=1 />" + ARTICLE,
     "nested svg": "<body><svg><svg><text>x</text></svg><text>y</text></svg>" + ARTICLE,
+    "svg around one that closes itself": "<body><svg><svg /><text>x</text></svg>" + ARTICLE,
     "iframe closes itself": "<body><iframe src=x />" + ARTICLE,
     "iframe without end": "<body><iframe src=x>" + ARTICLE,
     "button without end": "<body><nav><button>Menu</nav>" + ARTICLE,
