@@ -22,9 +22,10 @@ the result.  Equal sets are reduced to one representative beforehand.
 
 Defined cases: null or empty texts and texts without a word have empty sets,
 ``n_shingles`` 0, and link with nothing; a text with fewer words than a
-shingle is one shingle; rows that share a doc_id are one document and stand or
-fall together; a null doc_id is in no component and is kept; other columns
-are not read.
+shingle is one shingle; rows that share a doc_id are one document, whose links
+are those of all its texts, so they stand or fall together (``n_shingles`` is
+each row's own); a null doc_id is in no component and is kept; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -81,6 +82,12 @@ def shingle_sets(ch: Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
     return s[keep], np.searchsorted(srow[keep], np.arange(ch.rows + 1))
 
 
+def _fingerprint(s: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sums over each row's set that, with its size, stand for the set."""
+    with np.errstate(over="ignore"):
+        return per_row_sum(mix(s).view(np.int64), first), per_row_sum(mix(s ^ _XOR[0]).view(np.int64), first)
+
+
 def _sketch(k: int):
     def run(batches):
         for b in batches:
@@ -98,8 +105,7 @@ def _sketch(k: int):
                             sig[full, i] = m
                         else:
                             low[full, i - TREES * LEVELS] = mix(m) & np.uint64(0xFFFF)
-                    fa = per_row_sum(mix(s).view(np.int64), first)
-                    fb = per_row_sum(mix(s ^ _XOR[0]).view(np.int64), first)
+                    fa, fb = _fingerprint(s, first)
                 raw, short = (x.view(np.uint8).reshape(ch.rows, -1) for x in (sig, low))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(ch.first, ch.rows), pa.array(n.astype(np.int64)), pa.array(fa), pa.array(fb),
@@ -214,7 +220,7 @@ def _pair_batch(a, b):
 
 
 def _sets(k: int, wanted):
-    """Sorted shingles of the rows whose id may be wanted."""
+    """Sorted shingles of the rows whose id may be wanted, and the fingerprint of their set."""
     def run(batches):
         for b in batches:
             mark = b.column(2).to_numpy()
@@ -222,8 +228,10 @@ def _sets(k: int, wanted):
             for ch in text_chunks(b.column(1)):
                 s, first = shingle_sets(ch, k)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(ch.first, ch.rows),
-                     pa.array([np.sort(s[first[r]:first[r + 1]]).tobytes() for r in range(ch.rows)], pa.binary())], ["c", "s"])
+                    [b.column(0).slice(ch.first, ch.rows), pa.array(np.diff(first).astype(np.int64)),
+                     *map(pa.array, _fingerprint(s, first)),
+                     pa.array([np.sort(s[first[r]:first[r + 1]]).tobytes() for r in range(ch.rows)], pa.binary())],
+                    ["doc_id", "n_shingles", "fa", "fb", "s"])
     return run
 
 
@@ -264,22 +272,39 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     base = id_text(docs)
     sketch = cut_lineage(base.mapInArrow(_sketch(shingle), "doc_id long, n_shingles long, fa long, fb long, path binary, sig binary"))
     real = sketch.filter("n_shingles > 0 and doc_id is not null")
-    reps = cut_lineage(real.groupBy("fa", "fb", "n_shingles").agg(F.min(F.struct("doc_id", "path", "sig")).alias("m"))
-                       .select("fa", "fb", "n_shingles", F.col("m.doc_id").alias("c"), "m.path", "m.sig"))
+    same = ["fa", "fb", "n_shingles"]
+    reps = cut_lineage(real.groupBy(*same).agg(F.min(F.struct("doc_id", "path", "sig")).alias("m"))
+                       .select(*same, F.col("m.doc_id").alias("c"), F.col("m.doc_id").alias("doc_id"), "m.path", "m.sig"))
+    # classes go by their smallest doc_id; where several texts of one id would, all but one go by a number from the end of the range
+    shared = reps.groupBy("c").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct(*same)).alias("own")).filter("m > 1")
+    if shared.limit(1).count():
+        other = F.col("own").isNotNull() & (F.struct(*same) != F.col("own"))
+        renamed = reps.join(shared.select("c", "own"), "c", "left") \
+            .withColumn("c", F.when(other, F.lit((1 << 63) - 1) - F.monotonically_increasing_id()).otherwise(F.col("c"))).drop("own")
+        renamed = cut_lineage(renamed)
+        release(reps)
+        reps = renamed
+    # the classes of every document; a document with several texts ties their classes together
+    of = cut_lineage(real.select("doc_id", *same).join(reps.select(*same, "c"), same).select("doc_id", "c"))
+    tied = of.groupBy("doc_id").agg(F.min("c").alias("src"), F.max("c").alias("dst")).filter("src <> dst").select("doc_id", "src")
+    tied = of.join(tied, "doc_id").filter("c <> src").select("src", F.col("c").alias("dst")).distinct()
     nodes = cut_lineage(_tree_nodes(reps))
     wanted = nodes.select("c").distinct()
+    needed = cut_lineage(reps.join(wanted, "c", "left_semi").select("c", "doc_id", *same))
     # a bitmap of hashed ids spares most documents the way through the shuffle; the join then is exact
-    mark = F.pmod(F.xxhash64("c"), F.lit(FILTER_BITS))
+    mark = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
     bitmap = np.zeros(FILTER_BITS // 8, np.uint8)
     # bucket k holds the numbers from (k - 1) * 32768 + 1 on, so numbers are counted from 1
-    parts = nodes.groupBy(F.bitmap_bucket_number(mark + 1).alias("k")) \
+    parts = needed.groupBy(F.bitmap_bucket_number(mark + 1).alias("k")) \
                  .agg(F.bitmap_construct_agg(F.bitmap_bit_position(mark + 1)).alias("b"))
     for k, b in parts.collect():
         bitmap[(k - 1) * 4096:k * 4096] = np.frombuffer(b, np.uint8)
-    shared = spark.sparkContext.broadcast(bitmap)
+    bits = spark.sparkContext.broadcast(bitmap)
     found = base.filter("doc_id is not null").withColumn("mark", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))) \
-                .mapInArrow(_sets(shingle, shared), "c long, s binary")
-    sets = cut_lineage(found.join(wanted, "c", "left_semi").dropDuplicates(["c"]))
+                .mapInArrow(_sets(shingle, bits), "doc_id long, n_shingles long, fa long, fb long, s binary")
+    # rows that share id and set are alike, so which of them stays does not matter
+    sets = cut_lineage(found.join(needed, ["doc_id", *same]).select("c", "s").dropDuplicates(["c"]))
+    release(needed)
     gather(spark)
     sigs = cut_lineage(reps.join(wanted, "c", "left_semi").select("c", "sig", "n_shingles"))
     # the sketches of a pair at similarity p agree in SKETCH * p places on average; 3.9 standard deviations below are let through
@@ -303,7 +328,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     stars = stars.join(sigs.select(F.col("c").alias("a"), F.col("sig").alias("x")), "a") \
                  .join(sigs.select(F.col("c").alias("b"), F.col("sig").alias("y")), "b") \
                  .select("a", "b", "x", "y").mapInArrow(_alike(least), "a long, b long")
-    links = confirmed(stars)
+    starred = confirmed(stars)
+    links = cut_lineage(starred.unionByName(tied))
+    release(starred)
     comp = components(links)
     gather(spark)
     # the rest of every node that spans several components, in cells; blocks are bounded in members and in bytes of sets
@@ -331,10 +358,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         comp = components(links)
     release(more)
     gather(spark)
-    out = real.join(reps.select("fa", "fb", "n_shingles", "c"), ["fa", "fb", "n_shingles"]).select("doc_id", "c")
-    out = out.join(comp, "c", "left").groupBy("doc_id").agg(F.min(F.coalesce("comp", "c")).alias("component_id"))
+    out = of.join(comp, "c", "left").groupBy("doc_id").agg(F.min(F.coalesce("comp", "c")).alias("component_id"))
     out = cut_lineage(out.filter("doc_id <> component_id"))
-    for t in (nodes, sets, sigs, links, comp, reps):
+    for t in (nodes, sets, sigs, links, comp, reps, of):
         release(t)
     return (sketch.select("doc_id", "n_shingles").join(out, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
@@ -344,7 +370,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The documents without those that a smaller doc_id of their group stands for (pipeline stage)."""
     gone = near_duplicates(docs, shingle, percent).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    # all columns of the documents travel in one struct, so none can clash with the operator's own
+    rows = docs.select(F.struct("*").alias("_row"))
+    return rows.join(gone, F.col("_row.doc_id").cast("long") == F.col("_gone"), "left_anti").select("_row.*")
 
 
 def op10_near_dedup(spark, sf_dir) -> DataFrame:
