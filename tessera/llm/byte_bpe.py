@@ -9,7 +9,9 @@ other is merged by sentencepiece.  Decoding maps ids back to their bytes.
 
 Defined cases: a null text counts as empty and has no ids; an empty table
 gives no rows; null ids and repeated rows pass through row by row; other
-columns are not read by ``encode`` and are kept by ``encode_all``.
+columns are not read by ``encode`` and are kept by ``encode_all``; columns of the
+names that ``with_tokens`` adds are replaced by it; bytes that are no UTF-8 are
+encoded as the replacement character (the round trip then fails and says so).
 """
 
 from __future__ import annotations
@@ -159,7 +161,7 @@ def encode_all(docs: DataFrame, path: str | None = None, pattern: str | None = N
             at = 0
             for ch in text_chunks(b.column(1)):
                 raw, off = ch.data.tobytes(), ch.offsets.tolist()
-                ids, first = codec.encode([raw[x:y].decode() for x, y in zip(off, off[1:])])
+                ids, first = codec.encode([raw[x:y].decode("utf-8", "replace") for x, y in zip(off, off[1:])])
                 data, border = codec.decode(ids, first)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(at, ch.rows),
@@ -179,7 +181,8 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
 def with_tokens(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """The documents with ``token_ids``, ``n_tokens`` and ``round_trip``: whether decoding gives the text back (pipeline stage)."""
     out = encode_all(docs, path, pattern)
-    return out.select("row.*", F.col("ids").alias("token_ids"), F.size("ids").cast("long").alias("n_tokens"),
+    own = ("token_ids", "n_tokens", "round_trip")
+    return out.select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in own], F.col("ids").alias("token_ids"), F.size("ids").cast("long").alias("n_tokens"),
                       (F.col("decoded") == F.coalesce(F.col("row.text"), F.lit("")).cast("binary")).alias("round_trip"))
 
 
