@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def _vec(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     """Feature vector; a null or NaN feature is an error, no row is left out."""
@@ -67,7 +69,8 @@ def nearest_centre(df: DataFrame, centres: DataFrame, features: str = "features"
     blocked top-1 of :mod:`blocks`, so a large k is not a broadcast risk.
     """
     from .blocks import top_k
-    tmp = df.withColumn("_rid", F.monotonically_increasing_id())
+    # the generated id is written, so both sides of the join see the same one
+    tmp = cut_lineage(df.withColumn("_rid", F.monotonically_increasing_id()))
     res = top_k(tmp, centres, 1, qid="_rid", tid=centre_id, qvec=features, tvec=centre_vec, metric="l2")
     return tmp.join(res.select(F.col("qid").alias("_rid"), F.col("tid").alias("cluster"), "distance"), "_rid").drop("_rid")
 
@@ -80,18 +83,38 @@ def mlp(train: DataFrame, cols: list[str], layers: list[int], label: str = "labe
 
 
 def grid_search(train: DataFrame, cols: list[str], label: str = "label", depths=(2, 3), etas=(0.1, 0.8),
-                folds: int = 3, rounds: int = 5, seed: int = 1):
-    """Depth x eta grid of boosted trees with k-fold cross-validation."""
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+                folds: int = 3, rounds: int = 5, seed: int = 1, multiclass: bool = False):
+    """Depth x eta grid of boosted trees with k-fold cross-validation; ``bestModel`` is fitted on all rows.
+
+    ``multiclass`` takes one tree ensemble per class (any number of classes)
+    and compares by accuracy, else the label is 0 / 1 and the area under ROC counts.
+    """
+    from pyspark.ml.classification import GBTClassifier, OneVsRest
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
     gbt = GBTClassifier(labelCol=label, maxIter=rounds, seed=seed)
     grid = ParamGridBuilder().addGrid(gbt.maxDepth, list(depths)).addGrid(gbt.stepSize, list(etas)).build()
-    cv = CrossValidator(estimator=gbt, estimatorParamMaps=grid, numFolds=folds, seed=seed,
-                        evaluator=BinaryClassificationEvaluator(labelCol=label))
+    est = OneVsRest(classifier=gbt, labelCol=label) if multiclass else gbt
+    judge = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy") if multiclass \
+        else BinaryClassificationEvaluator(labelCol=label)
+    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, numFolds=folds, seed=seed, evaluator=judge)
     return cv.fit(_vec(train, cols))
 
 
+def grid_results(cv) -> list[dict]:
+    """One row per grid point: its parameters, average metric, and whether it is the best."""
+    best = max(range(len(cv.avgMetrics)), key=lambda i: cv.avgMetrics[i])
+    return [{**{p.name: v for p, v in point.items()}, "avg_metric": float(cv.avgMetrics[i]), "best": i == best}
+            for i, point in enumerate(cv.getEstimatorParamMaps())]
+
+
+def evaluate_classifier(model, df: DataFrame, cols: list[str], label: str = "label") -> DataFrame:
+    """Evaluation at the end of a job (M6, M12): accuracy and weighted precision, recall and F1 on ``df``."""
+    from .evaluate import multiclass_metrics
+    out = model.transform(_vec(df, cols)).select(F.col(label).cast("double").alias("label"), "prediction")
+    return multiclass_metrics(out)
+
+
 # M14 ---------------------------------------------------------------------------
 # The saved regression table (target category 1; category 0
 # has intercept 0 and no predictors), link = logit.

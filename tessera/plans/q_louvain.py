@@ -122,11 +122,27 @@ def g13_louvain_levels(spark, sf_dir):
     return spark.createDataFrame(rows, "level int, q double, passes int, communities long")
 
 
-@register("s11_level_snapshots")
+@register("s11_level_snapshots", _BASE + """
+select 'vertex' as part, id, community, cast(sigma_tot as bigint) as sigma_tot, internal, cast(node_weight as bigint) as node_weight,
+       null::bigint as dst, null::bigint as weight from st0
+union all select 'edge', src, null, null, null, null, dst, weight from e
+union all select 'level', 0, null, null, null, null, null, null
+""")
 def s11_level_snapshots(spark, sf_dir):
+    """Level 0 written twice (the second time over the first), with its (level, q) row, and read back."""
     v, g = _graph(spark, sf_dir)
     base = scratch_path(spark, "louvain_snap")
     st, e = L.initial_state(v, g)
-    write_levels(st, e, base, 0)
-    write_levels(st, e, base, 0)  # overwrite is allowed
-    return spark.read.parquet(f"{base}/level_0_vertices")
+    m = L.total_weight(st)
+    for _ in range(2):
+        write_levels(st, e, base, 0, L.modularity(st, e, m))
+    null = lambda c: F.lit(None).cast("bigint").alias(c)
+    state = spark.read.parquet(f"{base}/level_0_vertices").select(
+        F.lit("vertex").alias("part"), "id", "community", F.col("sigma_tot").cast("bigint").alias("sigma_tot"),
+        F.col("internal").cast("bigint").alias("internal"), F.col("node_weight").cast("bigint").alias("node_weight"), null("dst"), null("weight"))
+    rest = ("community", "sigma_tot", "internal", "node_weight")
+    edges = spark.read.parquet(f"{base}/level_0_edges").select(
+        F.lit("edge").alias("part"), F.col("src").alias("id"), *map(null, rest), "dst", "weight")
+    level = spark.read.parquet(f"{base}/level_0_q").filter("q between -1 and 1").select(
+        F.lit("level").alias("part"), F.col("level").cast("bigint").alias("id"), *map(null, rest), null("dst"), null("weight"))
+    return state.unionByName(edges).unionByName(level)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..operators import evaluate as ev
 from ..operators import fm as FM
 from ..operators import jobs as J
-from ..operators.blocks import top_k
 from ..session import scratch_path
 from . import inputs as I
 from .catalog import register
@@ -326,8 +325,8 @@ def m11_kmeans_assignment(spark, sf_dir):
     """One assignment step: every embedding to the nearest per-label centre."""
     v = I.vectors(spark, sf_dir)
     c = class_centroids(v)
-    res = top_k(v, c, 1, qid="id", tid="label", qvec="features", tvec="centroid")
-    return res.select(F.col("qid").alias("id"), F.col("tid").alias("cluster"), F.round("distance", 6).alias("distance"))
+    res = J.nearest_centre(v.select("id", "features"), c, centre_id="label")
+    return res.select("id", "cluster", F.round("distance", 6).alias("distance"))
 
 
 @register("m12_mlp_classifier")
@@ -342,7 +341,8 @@ def m12_mlp_classifier(spark, sf_dir):
 def m13_grid_search_cv(spark, sf_dir):
     rows = I.regression_rows(spark, sf_dir)
     cv = J.grid_search(rows, XS, rounds=3)
-    return spark.createDataFrame([(float(m),) for m in cv.avgMetrics], "avg_metric double")
+    return spark.createDataFrame([(r["maxDepth"], r["stepSize"], r["avg_metric"], r["best"]) for r in J.grid_results(cv)],
+                                 "depth int, eta double, avg_metric double, best boolean")
 
 
 _M14_SQL = f"""
