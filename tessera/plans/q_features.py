@@ -35,7 +35,7 @@ def p3_select_constant_weight(spark, sf_dir):
     return out.select("id", "label", "weight", F.round("x0", 6).alias("x0"), F.round("x1", 6).alias("x1"))
 
 
-@register("p4_first_n_columns_formula")
+@register("p4_first_n_columns_formula", "select [l_quantity, l_extendedprice, l_discount] as features, l_tax as label from lineitem")
 def p4_first_n_columns_formula(spark, sf_dir):
     li = I.table(spark, sf_dir, "lineitem")
     numeric = li.select("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
@@ -105,7 +105,12 @@ def p9_assemble_array(spark, sf_dir):
     return r.select("id", F.transform("features", lambda v: F.round(v, 6)).alias("features"))
 
 
-@register("p10_formula_encoding")
+@register("p10_formula_encoding", """
+with s as (select l_linestatus as v, row_number() over (order by count(*) desc, l_linestatus) as r from lineitem group by l_linestatus),
+f as (select l_returnflag as v, row_number() over (order by count(*) desc, l_returnflag) - 1 as r from lineitem group by l_returnflag)
+select [l_quantity, l_discount, case when s.r = 1 then 1.0 else 0.0 end] as features, cast(f.r as double) as label
+from lineitem join s on s.v = l_linestatus join f on f.v = l_returnflag
+""")
 def p10_formula_encoding(spark, sf_dir):
     li = I.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity", "l_discount", "l_linestatus")
     _, out = P.formula_encode(li, "l_returnflag ~ l_quantity + l_discount + l_linestatus")
@@ -155,7 +160,9 @@ def p13_distinct_keys(spark, sf_dir):
     return P.distinct_rows(li)
 
 
-@register("p14_class_count_metadata")
+@register("p14_class_count_metadata", """
+select 'label' as "column", cast(count(distinct l_returnflag) as int) as num_classes from lineitem
+""")
 def p14_class_count_metadata(spark, sf_dir):
     from pyspark.ml.feature import StringIndexer
     li = I.table(spark, sf_dir, "lineitem").select("l_returnflag")

@@ -253,7 +253,10 @@ def m5_fm_parallel_adagrad(spark, sf_dir):
     return FM.predict(rows, m).select("id", "label", "prediction")
 
 
-@register("s10_fm_model_save_load")
+@register("s10_fm_model_save_load", f"""
+with r as ({I.REGRESSION_SQL}), p as (select id, round(least(greatest({_RAW}, 0.0), 1.0), 6) as p from r)
+select id, p as p_saved, p as p_loaded, true as same from p
+""")
 def s10_fm_model_save_load(spark, sf_dir):
     rows = _fm_rows(spark, sf_dir)
     m = fixed_fm(0)
@@ -261,8 +264,9 @@ def s10_fm_model_save_load(spark, sf_dir):
     FM.save_model(spark, m, path)
     back = FM.load_model(spark, path)
     a = FM.predict(rows, m, out="p_saved")
-    return FM.predict(a, back, out="p_loaded").select("id", "p_saved", "p_loaded",
-                                                      (F.col("p_saved") == F.col("p_loaded")).alias("same"))
+    return FM.predict(a, back, out="p_loaded").select(
+        "id", F.round("p_saved", 6).alias("p_saved"), F.round("p_loaded", 6).alias("p_loaded"),
+        (F.col("p_saved") == F.col("p_loaded")).alias("same"))
 
 
 # pyspark.ml jobs on the whole lineitem table ----------------------------------------
