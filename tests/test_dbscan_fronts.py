@@ -3,7 +3,6 @@
 import math
 
 import numpy as np
-import pytest
 
 from tessera.operators import dbscan as D
 from tessera.operators import graph as G

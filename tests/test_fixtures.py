@@ -1,6 +1,5 @@
 """Hand-checked small inputs (answers worked out by hand) and the semantics notes."""
 
-import math
 
 import pytest
 from pyspark.sql import functions as F

@@ -3,7 +3,6 @@
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import functions as F
 
 from tessera.operators import fm
 
