@@ -240,7 +240,9 @@ def _closest(q: DataFrame, c: DataFrame, block_rows: int) -> DataFrame:
         least = np.full(len(pairs), np.inf)
         np.minimum.at(least, lc, np.where(lc[:, None] == rc[None, :], _d(lpdf, rpdf), np.inf).min(1))
         found = np.flatnonzero(np.isfinite(least))
-        return pd.DataFrame({"src": [pairs[i][0] for i in found], "dst": [pairs[i][1] for i in found], "d": least[found]}, columns=["src", "dst", "d"])
+        # chunks that share no pair give an empty frame, whose keys must still be text for Arrow
+        src, dst = (np.array([pairs[i][j] for i in found], dtype=object) for j in (0, 1))
+        return pd.DataFrame({"src": src, "dst": dst, "d": least[found]})
 
     schema = T.StructType([T.StructField("src", T.StringType()), T.StructField("dst", T.StringType()), T.StructField("d", T.DoubleType())])
     key = _pack(F.floor(F.col("cx") / 8), F.floor(F.col("cy") / 8)).alias("key")

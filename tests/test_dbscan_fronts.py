@@ -107,3 +107,10 @@ def test_shortest_paths_merge_like_plain_dijkstra(spark):
                     p = rows[p][1]
                 assert 0 in seen or i == 0
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("tessera_")]
+
+
+def test_chunks_that_share_no_pair_of_cells(spark):
+    # one group of chunks holds rows of two different pairs and finds no distance: its empty frame keeps text keys
+    q = spark.createDataFrame([("a", "b", 0, 0, 1, 0.0, 0.0)], "src string, dst string, cx long, cy long, id long, x double, y double")
+    c = spark.createDataFrame([("a", "c", 0, 0, 2, 1.0, 0.0)], q.schema)
+    assert D._closest(q, c, 16).collect() == []
