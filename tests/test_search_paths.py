@@ -117,3 +117,30 @@ def test_empty_sides(spark, vectors):
         assert blocks.top_k(df, df.limit(0), 3, **kw).count() == 0
         assert blocks.top_k(df.limit(0), df, 3, **kw).count() == 0
     assert R.recommend_for_all(df, df.limit(0), 3, approximate=True).count() == 0
+
+
+def test_scoring_holds_no_matrix_of_all_pairs():
+    import tracemalloc
+    rng = np.random.default_rng(8)
+    x, ids = rng.normal(size=(20_000, 3)), np.arange(20_000)
+    opts = dict(k=3, exclude_self=True, max_distance=None, min_positive=False)
+    for metric, quota in (("l2", {}), ("dot", {}), ("dot", {"quota": (ids // 64, 3, 20_000)})):
+        tracemalloc.start()
+        r, ci, v = blocks._score_block(x[:2000], ids[:2000], x, ids, metric=metric, **quota, **opts)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(r) == 6000 and peak < 150e6   # the matrix alone has 320 MB
+    pivot = x.mean(0)
+    pd_ = np.sqrt(((x - pivot) ** 2).sum(1))
+    got = blocks._score_rings(x[:2000], ids[:2000], x, ids, pivot, pd_, 30, dict(opts, metric="l2"))
+    want = blocks._score_block(x[:2000], ids[:2000], x, ids, metric="l2", **opts)
+    assert all((a == b).all() for a, b in zip(got, want))
+
+
+def test_rows_are_copied_into_few_groups_of_a_pivot():
+    most = 58_000
+    for rows in (1_000, 12_800, 100_000):
+        assert blocks._chunks(rows, 2, 128, most) <= 2
+        assert blocks._chunks(rows, 16, 128, most) <= 16
+    assert blocks._chunks(1_000_000, 2, 128, most) == 18   # the byte bound goes first
+    assert blocks._chunks(100, 2, 128, most) == 1
