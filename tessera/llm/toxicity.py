@@ -12,9 +12,9 @@ scored: words and word beginnings whose rate differs between toxic and clean
 labelled texts carry log ratios, and a logistic model over the text's sums of
 them gives the probability.
 
-Character model, lexicon and logistic weights are fitted on at most about
-``SAMPLE`` labelled rows, drawn by a hash of the id, one of each group of
-look-alike texts; what is broadcast is bounded by fixed table sizes.
+Character model, lexicon and logistic weights are fitted on all labelled rows,
+one of each group of look-alike texts: counts and Newton sums are added up by
+Spark; what is broadcast or collected is bounded by fixed table sizes.
 
 Defined cases: a null or empty text has no evidence and gets the score that
 the model gives to that; with no usable labels every score is 0; rows are
@@ -35,13 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-from .common import crc_mod, crc_of, documents, id_text
+from ..session import DICTIONARY_ROWS, cut_lineage, release
+from .common import crc_mod, crc_of, documents, gather, id_text
 from .lm_score import _merge
 from .near_dedup import shingle_sets
 from .words import _LOWER, Chunk, Spans, combine, row_of, text_chunks
 
-SAMPLE = 30_000
+TASK_ROWS = 4_000        # labelled rows of a task
+ASKED = 2_000_000        # units of toxic texts looked up in clean ones at a time
+HELD = 2_000_000         # counts that a task merges before it hands some on
 LEXICON = 4096
 LEAST_TEXTS = 3          # toxic texts that must hold a lexicon entry
 LEAST_RATIO = 3.0
@@ -328,15 +330,27 @@ def _design(f: np.ndarray) -> np.ndarray:
                      strong / n1 * 10, np.log(n1), np.log1p(hits) * np.log(n1) / 5, np.log1p(strong) * np.log(n1) / 5], axis=1)
 
 
-def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic weights by Newton steps with a small ridge."""
-    w = np.zeros(x.shape[1])
+def _fit(measured: DataFrame) -> np.ndarray:
+    """Logistic weights by Newton steps with a small ridge; gradient and Hessian are summed task by task."""
+    def sums(w):
+        def run(batches):
+            g, h = np.zeros(len(w)), np.zeros((len(w), len(w)))
+            for b in batches:
+                y = b.column(0).to_numpy().astype(np.float64)
+                x = _design(np.stack([c.to_numpy() for c in b.columns[1:]], axis=1))
+                p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+                g += x.T @ (p - y)
+                h += (x * (p * (1 - p))[:, None]).T @ x
+            yield pa.RecordBatch.from_arrays([pa.array([np.r_[g, h.ravel()].tolist()], pa.list_(pa.float64()))], ["s"])
+        return run
+
+    k = _design(np.zeros((1, 4))).shape[1]
+    w = np.zeros(k)
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - y) + 1e-2 * w
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(len(w))
+        total = sum(np.array(r["s"]) for r in measured.mapInArrow(sums(w), "s array<double>").collect())   # 110 numbers a task
+        g, h = total[:k] + 1e-2 * w, total[k:].reshape(k, k) + 1e-2 * np.eye(k)
         step = np.linalg.solve(h, g)
-        w -= step
+        w = w - step
         if np.abs(step).max() < 1e-8:
             break
     return w
@@ -354,14 +368,14 @@ class Model:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, mod: int, out: int) -> DataFrame:
-    """doc_id, text, toxic of the drawn training rows, one for each value of a minwise shingle."""
+    """doc_id, text, toxic of the labelled training rows, one for each value of a minwise shingle."""
     spark = docs.sparkSession
     lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")) \
                 .filter("toxic is not null and doc_id is not null").filter(crc_of("doc_id", mod) != out) \
                 .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = lab.count()
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < int(min(1.0, SAMPLE / max(n, 1)) * (1 << 30))
-    drawn = id_text(docs).join(F.broadcast(lab.filter(draw)), "doc_id")      # about SAMPLE short rows
+    few = n <= DICTIONARY_ROWS
+    known = id_text(docs).join(F.broadcast(lab) if few else lab, "doc_id")
 
     def minwise(batches):
         for b in batches:
@@ -374,9 +388,22 @@ def _labelled(docs: DataFrame, labels: DataFrame, mod: int, out: int) -> DataFra
                 cols = [c.slice(ch.first, ch.rows) for c in b.columns]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(key.view(np.int64))], ["doc_id", "text", "toxic", "m"])
 
-    rows = drawn.select("doc_id", "text", "toxic").mapInArrow(minwise, "doc_id long, text string, toxic int, m long")
+    rows = known.select("doc_id", "text", "toxic").mapInArrow(minwise, "doc_id long, text string, toxic int, m long")
+    stored = None if few else cut_lineage(rows)
+    if stored is not None:
+        gather(spark)     # all texts were shuffled for the join
+        rows = stored
     one = rows.groupBy("m").agg(F.min(F.struct("doc_id", "toxic", "text")).alias("r"))
-    return cut_lineage(one.select("r.doc_id", "r.text", "r.toxic").repartition(max(8, spark.sparkContext.defaultParallelism)))
+    out_ = cut_lineage(one.select("r.doc_id", "r.text", "r.toxic").repartition(max(8, spark.sparkContext.defaultParallelism, -(-n // TASK_ROWS))))
+    release(stored)
+    return out_
+
+
+def _counts(held: list) -> tuple[list, int]:
+    """The held (units, counts, text counts) merged into one, and its length."""
+    k, c = _merge([h[0] for h in held], [h[1] for h in held])
+    _, d = _merge([h[0] for h in held], [h[2] for h in held])
+    return [(k, c, d)], len(k)
 
 
 def learn(docs: DataFrame, labels: DataFrame, mod: int = 5, out: int = 0) -> Model:
@@ -385,6 +412,7 @@ def learn(docs: DataFrame, labels: DataFrame, mod: int = 5, out: int = 0) -> Mod
     rows = _labelled(docs, labels, mod, out)
     per_class = dict(rows.groupBy("toxic").count().collect())
     if not per_class.get(1) or not per_class.get(0):
+        release(rows)
         return Model(None, None, None)
 
     def characters(batches):
@@ -402,15 +430,27 @@ def learn(docs: DataFrame, labels: DataFrame, mod: int = 5, out: int = 0) -> Mod
     channel = Channel(counts)
     light = spark.sparkContext.broadcast(counts)
 
+    def restore(batches):
+        channel = Channel(light.value)
+        for b in batches:
+            for ch in text_chunks(b.column(1)):
+                r = restored(ch, channel)
+                text = pa.LargeStringArray.from_buffers(r.rows, pa.py_buffer(r.offsets.astype(np.int64)), pa.py_buffer(r.data.tobytes()))
+                yield pa.RecordBatch.from_arrays([b.column(2).slice(ch.first, ch.rows), text.cast(pa.string())], ["toxic", "text"])
+
+    # every text is restored once, the passes below read the result
+    raw, rows = rows, cut_lineage(rows.mapInArrow(restore, "toxic int, text string"))
+    release(raw)
+
     def units(wanted):
         def run(batches):
-            channel = Channel(light.value)
             want = wanted.value if wanted is not None else None
-            held: list[list] = [[], [], []]
-            words = 0
+            held: list = []
+            size = words = 0
+            names = ["u", "c", "d"]
             for b in batches:
                 for ch in text_chunks(b.column(1)):
-                    for i, (h, word, row) in enumerate(_units(restored(ch, channel))):
+                    for i, (h, word, row) in enumerate(_units(ch)):
                         if i == 0:
                             words += len(h)
                         r = row[word]
@@ -419,52 +459,61 @@ def learn(docs: DataFrame, labels: DataFrame, mod: int = 5, out: int = 0) -> Mod
                             h, r = h[at], r[at]
                         u, c = np.unique(h, return_counts=True)
                         pairs = np.unique(combine(h, r.astype(np.uint64)), return_index=True)[1]
-                        d, dc = np.unique(h[pairs], return_counts=True)
-                        held[0].append(u)
-                        held[1].append(c)
-                        held[2].append(dc)
-            if held[0]:
-                k, c = _merge(held[0], held[1])
-                _, d = _merge(held[0], held[2])
-                yield pa.RecordBatch.from_arrays([pa.array(np.append(k, np.uint64(0)).view(np.int64)), pa.array(np.append(c, words)),
-                                                  pa.array(np.append(d, 0))], ["u", "c", "d"])
+                        held.append((u, c, np.unique(h[pairs], return_counts=True)[1]))
+                        size += len(u)
+                    if size > HELD:
+                        held, size = _counts(held)
+                        if size > HELD // 2:
+                            yield pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), *map(pa.array, held[0][1:])], names)
+                            held, size = [], 0
+            if held:
+                (k, c, d), = _counts(held)[0]
+                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c), pa.array(d)], names)
+            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([words]), pa.array([0])], names)
         return run
 
-    def counted(part: DataFrame, wanted, least: int):
-        t = part.mapInArrow(units(wanted), "u long, c long, d long").groupBy("u") \
-                .agg(F.sum("c").alias("c"), F.sum("d").alias("d")).filter((F.col("d") >= least) | (F.col("u") == 0)).toArrow()
-        u, c, d = t["u"].to_numpy().view(np.uint64), t["c"].to_numpy(), t["d"].to_numpy()
-        words = c[u == 0].sum()
-        return u[u != 0], c[u != 0].astype(np.float64), d[u != 0], float(words)
-
-    # units of toxic texts first, then only those in clean texts
-    u, ct, dt, nt = counted(rows.filter("toxic = 1"), None, LEAST_TEXTS)
-    asked = spark.sparkContext.broadcast(Lexicon(u, np.zeros(len(u))))
-    v, cc_, _, nc = counted(rows.filter("toxic = 0"), asked, 0)
-    cc = np.zeros(len(u))
-    order = np.argsort(u)
-    cc[order[np.searchsorted(u[order], v)]] = cc_
-    ratio = np.log(((ct + 0.5) / (nt + 1)) / ((cc + 0.5) / (nc + 1)))
+    def counted(part: DataFrame, wanted) -> DataFrame:
+        return part.mapInArrow(units(wanted), "u long, c long, d long").groupBy("u").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
+
+    def number_of_words(table: DataFrame) -> float:
+        return float(table.filter("u = 0").agg(F.sum("c")).first()[0] or 0)
+
+    # units of toxic texts first, then only those in clean texts, a bounded number at a time
+    toxic = cut_lineage(counted(rows.filter("toxic = 1"), None).filter((F.col("d") >= LEAST_TEXTS) | (F.col("u") == 0)))
+    nt = number_of_words(toxic)
+    slices = max(1, -(-toxic.count() // ASKED))
+    parts = []
+    for j in range(slices):
+        u = toxic.filter((F.col("u") != 0) & (F.pmod(F.xxhash64("u"), F.lit(slices)) == j)).select("u").toArrow()["u"].to_numpy().view(np.uint64)
+        asked = spark.sparkContext.broadcast(Lexicon(u, np.zeros(len(u))))
+        parts.append(cut_lineage(counted(rows.filter("toxic = 0"), asked)))
+    nc = number_of_words(parts[0])
+    clean = parts[0]
+    for p in parts[1:]:
+        clean = clean.unionByName(p)
+    both = toxic.filter("u != 0").join(clean.filter("u != 0").select("u", F.col("c").alias("cc")), "u", "left")
     # a unit counts with the lower end of its ratio
-    ratio -= 1.0 / np.sqrt(dt)
-    good = np.flatnonzero(ratio >= np.log(LEAST_RATIO))
-    good = good[np.argsort(-ratio[good] * np.log1p(dt[good]), kind="stable")][:LEXICON]
-    lexicon = Lexicon(u[good], ratio[good])
-    shared = spark.sparkContext.broadcast((counts, lexicon))
+    ratio = F.log(((F.col("c") + 0.5) / (nt + 1)) / ((F.coalesce("cc", F.lit(0)) + 0.5) / (nc + 1))) - 1.0 / F.sqrt("d")
+    best = both.select("u", "d", ratio.alias("ratio")).filter(F.col("ratio") >= float(np.log(LEAST_RATIO))) \
+               .orderBy((F.col("ratio") * F.log1p("d")).desc(), "u").limit(LEXICON).toArrow()
+    lexicon = Lexicon(best["u"].to_numpy().view(np.uint64), best["ratio"].to_numpy())
+    for p in (toxic, *parts):
+        release(p)
+    shared = spark.sparkContext.broadcast(lexicon)
 
     def measure(batches):
-        counts, lexicon = shared.value
-        channel = Channel(counts)
+        lexicon = shared.value
         for b in batches:
             for ch in text_chunks(b.column(1)):
-                f = features(restored(ch, channel), lexicon)
-                yield pa.RecordBatch.from_arrays([b.column(2).slice(ch.first, ch.rows), *(pa.array(c) for c in f.T)],
+                f = features(ch, lexicon)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(ch.first, ch.rows), *(pa.array(c) for c in f.T)],
                                                  ["toxic", "n", "total", "hits", "strong"])
 
-    t = rows.mapInArrow(measure, "toxic int, n double, total double, hits double, strong double").toArrow()   # about SAMPLE rows
-    f = np.stack([t[c].to_numpy() for c in ("n", "total", "hits", "strong")], axis=1)
-    order = np.lexsort((*f.T, t["toxic"].to_numpy()))
-    return Model(channel, lexicon, _fit(_design(f[order]), t["toxic"].to_numpy()[order].astype(np.float64)))
+    measured = cut_lineage(rows.mapInArrow(measure, "toxic int, n double, total double, hits double, strong double"))
+    weights = _fit(measured)
+    release(rows)
+    release(measured)
+    return Model(channel, lexicon, weights)
 
 
 def _share(spark, model: Model):

@@ -2,6 +2,7 @@
 
 import random
 import time
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -46,3 +47,20 @@ def test_empty_table_and_long_text(spark):
     assert toxicity.keep_clean(docs.limit(0), model).count() == 0
     kept = {r["doc_id"] for r in toxicity.keep_clean(docs, model).collect()}
     assert 99 in kept and not kept & {1, 3, 57} and {2, 4, 58} <= kept
+
+
+def test_every_labelled_row_is_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 30, raising=False)   # the bound there was
+    monkeypatch.setattr(toxicity, "ASKED", 3)                    # several slices of units
+    monkeypatch.setattr(toxicity, "HELD", 40)                    # counts handed on in pieces
+    rows = [(i, f"plain entry {i} about item{i} stands here" + (" vile grunzk" if i % 2 else "")) for i in range(1, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 400)], "doc_id long, toxic int")
+    used = [i for i, _ in rows if zlib.crc32(b"%d" % i) % 5]
+    assert {r["doc_id"] for r in toxicity._labelled(docs, labels, 5, 0).collect()} == set(used)
+    lexicon = toxicity.learn(docs, labels).lexicon
+    texts = [t for i, t in rows if i in set(used)]
+    bad, good = [t for t in texts if "vile" in t], [t for t in texts if "vile" not in t]
+    nt, nc = (sum(len(t.split()) for t in x) for x in (bad, good))
+    want = np.log(((len(bad) + 0.5) / (nt + 1)) / (0.5 / (nc + 1))) - 1 / np.sqrt(len(bad))
+    assert np.allclose(lexicon.ratio, want) and len(lexicon.ratio) == 6   # vile, grunzk; beginnings vile, grun, grunz, grunzk
