@@ -12,8 +12,8 @@ of it; blocks are summed in two levels of groups of bounded size, and only the
 summed model-sized vector reaches the driver.  Models beyond the broadcast
 bound are scored by a join with a table of weights (:func:`predict_by_join`).
 
-Training reads its rows from a table written once; rows without features or
-label are refused.  Switched-off parts (bias, linear) stay 0.
+Training reads its rows from a table written once, packed for the full passes of
+SGD and L-BFGS; rows without features or label are refused.  Switched-off parts (bias, linear) stay 0.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import clip, logistic, recode_pm1
 from ..session import DEFAULT_BROADCAST_BYTES, cut_lineage, release
 
+PACKED_BYTES = 2 << 20    # training rows in one packed row
 BLOCK = 4096              # weights in one row of a partial sum
 FAN_IN = 64               # partial sums of one block added up in one group of the first level
 PART_ENTRIES = 2_000_000  # active entries that one AdaGrad group holds
@@ -297,6 +298,33 @@ def _prepared(df: DataFrame, task: int, features: str, label: str) -> DataFrame:
     return df.select(active(df, features).alias("x"), y.alias("y"))
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """The rows ``x, y`` as Arrow messages of about ``PACKED_BYTES``, written: passes over them convert no nested values again."""
+    most = PACKED_BYTES
+
+    def run(batches):
+        for b in batches:
+            step = max(1, b.num_rows * most // max(b.nbytes, 1))
+            for a in range(0, b.num_rows, step):
+                part, sink = b.slice(a, step), pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, b.schema) as out:
+                    out.write_batch(part)
+                yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["packed"])
+
+    return cut_lineage(rows.select("x", "y").mapInArrow(run, "packed binary"))
+
+
+def _unpacked(batches):
+    """The batches ``x, y`` of a table of rows, packed or not."""
+    for b in batches:
+        if b.schema.names != ["packed"]:
+            yield b
+            continue
+        for message in b.column(0):
+            with pa.ipc.open_stream(message.as_buffer()) as rows:
+                yield from rows
+
+
 def _gradient(rows: DataFrame, model: FMModel) -> tuple[np.ndarray, float, int]:
     n, k = model.v.shape
     length = 1 + n + n * k
@@ -308,7 +336,7 @@ def _gradient(rows: DataFrame, model: FMModel) -> tuple[np.ndarray, float, int]:
         m = shared.value
         total = np.zeros(length + 2)   # the gradient, the loss and the row count
         gw, gv = total[1:1 + n], total[1 + n:length].reshape(n, k)
-        for b in batches:
+        for b in _unpacked(batches):
             if b.num_rows == 0:
                 continue
             block, y = Block(_struct(b, 0), n), b.column(1).to_numpy(zero_copy_only=False)
@@ -393,6 +421,9 @@ def train_sgd(df: DataFrame, task: int, num_factors: int = 4, iterations: int =
     switchable (``dim``); starts from ``model`` if given."""
     rows, n, lo, hi = _training_rows(df, task, features, label)
     m = _start(model, n, num_factors, task, init_std, seed, lo, hi, dim)
+    if batch_fraction >= 1.0 and iterations > 1:
+        plain, rows = rows, _packed(rows)
+        release(plain)
     for it in range(1, iterations + 1):
         batch = rows if batch_fraction >= 1.0 else rows.sample(False, batch_fraction, seed + it)
         g, loss, cnt = _gradient(batch, m)
@@ -416,6 +447,8 @@ def train_lbfgs(df: DataFrame, task: int, num_factors: int = 4, iterations: int
     ``reg`` is the L2 of bias, linear part and factors; ``dim`` as in :func:`train_sgd`."""
     rows, n, lo, hi = _training_rows(df, task, features, label)
     m0 = _start(model, n, num_factors, task, init_std, seed, lo, hi, dim)
+    plain, rows = rows, _packed(rows)
+    release(plain)
     on, penalty = m0.switches(), m0.penalty(reg)
 
     def objective(th):

@@ -121,3 +121,18 @@ def test_adagrad_does_not_depend_on_arrow_batches(spark, wide):
     tied = fm.train_parallel_adagrad(df, 2, rounds=4, passes=2, features="s", partitions=3, reg=10.0)
     used = np.abs(out[0]) != 0
     assert np.abs(tied[used]).mean() < np.abs(out[0][used]).mean()
+
+
+def test_training_passes_read_packed_rows(spark, wide, monkeypatch):
+    df, model = wide[0], _model(1)
+    rows = fm._prepared(df, 1, "s", "label")
+    want = fm._gradient(rows, model)
+    monkeypatch.setattr(fm, "PACKED_BYTES", 500)   # several messages a batch
+    packed = fm._packed(rows)
+    assert packed.columns == ["packed"] and packed.count() > 1
+    got = fm._gradient(packed, model)
+    assert np.allclose(got[0], want[0]) and np.isclose(got[1], want[1]) and got[2] == want[2]
+    seen, real = [], fm._gradient
+    monkeypatch.setattr(fm, "_gradient", lambda r, m: seen.append(r.columns) or real(r, m))
+    fm.train_lbfgs(df, 1, 2, iterations=2, features="s")
+    assert seen and all(c == ["packed"] for c in seen)
