@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, release
 
 
 def _vec(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
@@ -14,12 +14,67 @@ def _vec(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="error").transform(df)
 
 
+BINS = 32  # bins of a feature that trees split at: Spark's default ``maxBins``
+_BINS, _WEIGHT = "_bins", "_weight"
+
+
+def bin_edges(df: DataFrame, cols: list[str], bins: int = BINS) -> list[list[float]]:
+    """Lower bounds of at most ``bins`` bins of each column, from all rows: every value where there are no more, else quantiles."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    nums = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+
+    def few(batches):
+        # up to bins + 1 values of each column: one too many shows that there are more
+        seen = [set() for _ in cols]
+        for batch in batches:
+            for i, s in enumerate(seen):
+                if len(s) <= bins:
+                    v = pc.unique(batch.column(i)).drop_null()
+                    s.update(v.filter(pc.is_finite(v)).slice(0, 2 * bins + 2).to_pylist())
+        rows = [(i, v) for i, s in enumerate(seen) for v in sorted(s)[:bins + 1]]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.float64())], ["i", "v"])
+
+    values = [set() for _ in cols]
+    for r in nums.mapInArrow(few, "i int, v double").distinct().groupBy("i").agg(F.sort_array(F.collect_set("v")).alias("v")) \
+            .select("i", F.slice("v", 1, bins + 1).alias("v")).collect():
+        values[r["i"]] = set(r["v"])
+    many = [i for i, v in enumerate(values) if len(v) > bins]
+    if many:
+        quantiles = nums.approxQuantile([f"c{i}" for i in many], [j / bins for j in range(bins)], 1 / (32 * bins))
+        for i, q in zip(many, quantiles):
+            values[i] = {v for v in q if abs(v) < float("inf")}
+    return [sorted(v) or [0.0] for v in values]
+
+
+def binned_cells(train: DataFrame, cols: list[str], keys: list[str], bins: int = BINS):
+    """All rows counted by ``keys`` and the bins of ``cols``: the written table with vectors of bin numbers and counts, and
+    the stages that bin raw rows alike.
+
+    Trees split at bounds of bins alone, so a count as weight teaches them what the rows would; the cells are
+    bounded by the bins, not by the rows.
+    """
+    from pyspark.ml.feature import Bucketizer, VectorAssembler
+    inf = float("inf")
+    out = [f"_bin{i}" for i in range(len(cols))]
+    stages = [Bucketizer(splitsArray=[[-inf, *e, inf] for e in bin_edges(train, cols, bins)], inputCols=cols, outputCols=out, handleInvalid="error"),
+              VectorAssembler(inputCols=out, outputCol=_BINS, handleInvalid="error")]
+    cells = stages[0].transform(train).groupBy(*keys, *out).agg(F.count(F.lit(1)).cast("double").alias(_WEIGHT))
+    # without the bucketizer's metadata, which would make bin numbers categories: they are in order
+    cells = cells.select(*keys, *[F.col(c).alias(c, metadata={}) for c in out], _WEIGHT)
+    return cut_lineage(stages[1].transform(cells).select(*keys, _BINS, _WEIGHT)), stages
+
+
 def boosted_multiclass(train: DataFrame, cols: list[str], label: str = "label", eta: float = 0.8,
                        depth: int = 2, rounds: int = 10, seed: int = 1):
-    """M6: one-vs-rest boosted trees (eta, depth, rounds) -> fitted model."""
+    """M6: one-vs-rest boosted trees (eta, depth, rounds), taught by :func:`binned_cells` -> fitted model on raw columns."""
+    from pyspark.ml import PipelineModel
     from pyspark.ml.classification import GBTClassifier, OneVsRest
+    cells, stages = binned_cells(train, cols, [label])
     gbt = GBTClassifier(stepSize=eta, maxDepth=depth, maxIter=rounds, seed=seed)
-    return OneVsRest(classifier=gbt, labelCol=label).fit(_vec(train, cols))
+    model = OneVsRest(classifier=gbt, labelCol=label, featuresCol=_BINS, weightCol=_WEIGHT).fit(cells)
+    release(cells)
+    return PipelineModel([*stages, model])
 
 
 def random_forest(train: DataFrame, formula: str, trees: int = 20, seed: int = 1):
@@ -86,17 +141,24 @@ def grid_search(train: DataFrame, cols: list[str], label: str = "label", depths=
 
     ``multiclass`` takes one tree ensemble per class (any number of classes)
     and compares by accuracy, else the label is 0 / 1 and the area under ROC counts.
+    Every row falls into a random fold; the folds are taught and judged by their :func:`binned_cells`.
     """
+    from pyspark.ml import PipelineModel
     from pyspark.ml.classification import GBTClassifier, OneVsRest
     from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    gbt = GBTClassifier(labelCol=label, maxIter=rounds, seed=seed)
+    # the folds that CrossValidator itself would draw
+    folded = train.withColumn("_fold", F.least(F.floor(F.rand(seed) * folds), F.lit(folds - 1)).cast("int"))
+    cells, stages = binned_cells(folded, cols, ["_fold", label])
+    gbt = GBTClassifier(labelCol=label, featuresCol=_BINS, weightCol=_WEIGHT, maxIter=rounds, seed=seed)
     grid = ParamGridBuilder().addGrid(gbt.maxDepth, list(depths)).addGrid(gbt.stepSize, list(etas)).build()
-    est = OneVsRest(classifier=gbt, labelCol=label) if multiclass else gbt
-    judge = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy") if multiclass \
-        else BinaryClassificationEvaluator(labelCol=label)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, numFolds=folds, seed=seed, evaluator=judge)
-    return cv.fit(_vec(train, cols))
+    est = OneVsRest(classifier=gbt, labelCol=label, featuresCol=_BINS, weightCol=_WEIGHT) if multiclass else gbt
+    judge = MulticlassClassificationEvaluator(labelCol=label, weightCol=_WEIGHT, metricName="accuracy") if multiclass \
+        else BinaryClassificationEvaluator(labelCol=label, weightCol=_WEIGHT)
+    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, numFolds=folds, seed=seed, evaluator=judge, foldCol="_fold").fit(cells)
+    release(cells)
+    cv.bestModel = PipelineModel([*stages, cv.bestModel])   # takes raw columns
+    return cv
 
 
 def grid_results(cv) -> list[dict]:
