@@ -130,9 +130,9 @@ def nearest_centre(df: DataFrame, centres: DataFrame, features: str = "features"
 
 def mlp(train: DataFrame, cols: list[str], layers: list[int], label: str = "label", iters: int = 100,
         seed: int = 1234):
-    """Multilayer perceptron (sigmoid hidden units, softmax output)."""
-    from pyspark.ml.classification import MultilayerPerceptronClassifier
-    return MultilayerPerceptronClassifier(layers=layers, maxIter=iters, seed=seed, labelCol=label).fit(_vec(train, cols))
+    """Multilayer perceptron (sigmoid hidden units, softmax output), fitted by :mod:`perceptron` -> Spark's model."""
+    from .perceptron import train as fit
+    return fit(train, cols, layers, label, iters, seed=seed)
 
 
 def grid_search(train: DataFrame, cols: list[str], label: str = "label", depths=(2, 3), etas=(0.1, 0.8),
