@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import chunked_cogroup
+from .blocks import GROUP_ROWS, chunk_count, chunked_cogroup
 from .graph import connected_components
 from .ordered import running_totals
 from .stats import grid_cell_counts
@@ -200,7 +200,7 @@ def front_of(x: np.ndarray, y: np.ndarray, eps: float) -> list[int]:
 def _fronts(points: DataFrame, eps: float, block_rows: int) -> DataFrame:
     """For each (cell, side) the points of :func:`front_of`, written.
 
-    Cells are cut into chunks of ``block_rows`` points whose fronts are taken
+    Cells are cut into chunks (:func:`blocks.chunk_count`) whose fronts are taken
     side by side; the fronts of the fronts follow until a cell's fit one chunk or
     no longer shrink, so a cell with any share of the points is many small tasks.
     """
@@ -213,8 +213,8 @@ def _fronts(points: DataFrame, eps: float, block_rows: int) -> DataFrame:
     now, rows, turn = cut_lineage(points.select("cell", "side", "cx", "cy", "id", "x", "y")), None, 0
     columns = now.columns
     while True:
-        plan = now.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumn("chunks", F.ceil(F.col("n") / block_rows).cast("int"))
-        size = plan.agg(F.max("n").alias("most"), F.sum("n").alias("n")).first()
+        plan = now.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumn("chunks", chunk_count(F.col("n"), block_rows))
+        size = plan.agg(F.max("n").alias("most"), F.max("chunks").alias("chunks"), F.sum("n").alias("n")).first()
         if size["n"] is None or size["most"] <= FEW or rows is not None and size["n"] > 0.9 * rows:
             return now
         rows, turn = size["n"], turn + 1
@@ -225,29 +225,63 @@ def _fronts(points: DataFrame, eps: float, block_rows: int) -> DataFrame:
         nxt = cut_lineage(planned.filter(F.col("n") <= FEW).select(*columns).unionByName(fronts))
         release(now)
         now = nxt
-        if size["most"] <= block_rows:  # every cell was one chunk: its front is final
+        if size["chunks"] == 1:  # every cell was one chunk: its front is final
             return now
 
 
+_COMPARED = 1 << 20   # distances of a group computed at a time
+
+
 def _closest(q: DataFrame, c: DataFrame, block_rows: int) -> DataFrame:
-    """Smallest distance between the points of each pair (src, dst), per group of chunks; pairs share a group by tile of src."""
+    """Smallest distance between the points of each pair (src, dst), per crossing of two chunks of a pair.
+
+    Only points of one pair meet: either side of a pair is cut into chunks (:func:`blocks.chunk_count`), and the
+    crossings of its chunks, mostly one, are dealt whole into groups of about ``max(block_rows, GROUP_ROWS)`` rows a side.
+    """
+    pair = ["src", "dst"]
+    plan = (q.groupBy(*pair).agg(F.count(F.lit(1)).alias("nl")).join(c.groupBy(*pair).agg(F.count(F.lit(1)).alias("nr")), pair)
+             .withColumn("lch", chunk_count(F.col("nl"), block_rows)).withColumn("rch", chunk_count(F.col("nr"), block_rows)))
+    rows = plan.agg(F.sum(F.col("nl") * F.col("rch")), F.sum(F.col("nr") * F.col("lch"))).first()
+    groups = max(1, -(-max(rows[0] or 0, rows[1] or 0) // max(block_rows, GROUP_ROWS)))
+
+    def dealt(df, own, other, seed):
+        chunk = F.pmod(F.xxhash64("id", F.lit(seed)), F.col(f"{own}ch")).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col(f"{other}ch") - 1))
+        return df.select(*pair, "id", "x", "y").join(plan, pair).withColumn(own, chunk).withColumn(other, every) \
+            .select(F.pmod(F.xxhash64(*pair, "l", "r"), F.lit(groups)).alias("key"), *pair, "l", "r", "x", "y")
 
     def run(lpdf, rpdf):
-        # rows of several pairs share a group (one per tile): only same-pair rows are compared
-        lp, rp = (pd.MultiIndex.from_arrays([p["src"], p["dst"]]) for p in (lpdf, rpdf))
-        codes, pairs = pd.factorize(lp.append(rp))
-        lc, rc = codes[:len(lpdf)], codes[len(lpdf):]
-        least = np.full(len(pairs), np.inf)
-        np.minimum.at(least, lc, np.where(lc[:, None] == rc[None, :], _d(lpdf, rpdf), np.inf).min(1))
+        lp, rp = (pd.MultiIndex.from_frame(p[["src", "dst", "l", "r"]]) for p in (lpdf, rpdf))
+        codes, names = pd.factorize(lp.append(rp))
+        (lat, lstart, ln), (rat, rstart, rn) = (_by_code(x, len(names)) for x in (codes[:len(lpdf)], codes[len(lpdf):]))
+        lx, ly, rx, ry = lpdf["x"].to_numpy()[lat], lpdf["y"].to_numpy()[lat], rpdf["x"].to_numpy()[rat], rpdf["y"].to_numpy()[rat]
+        least = np.full(len(names), np.inf)
+        of = np.repeat(np.arange(len(names)), ln)                 # crossing of each left row, ascending
+        ends = np.cumsum(rn[of])
+        a = 0
+        while a < len(of):                                        # left rows whose distances fit _COMPARED, one at least
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + _COMPARED, "right")))
+            n = rn[of[a:b]]
+            left = np.repeat(np.arange(a, b), n)
+            right = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(rstart[of[a:b]], n)
+            dx, dy = lx[left] - rx[right], ly[left] - ry[right]
+            np.minimum.at(least, of[left], np.sqrt(dx * dx + dy * dy))
+            a = b
         found = np.flatnonzero(np.isfinite(least))
-        # chunks that share no pair give an empty frame, whose keys must still be text for Arrow
-        src, dst = (np.array([pairs[i][j] for i in found], dtype=object) for j in (0, 1))
+        # a group in which no crossing has both sides gives an empty frame, whose keys must still be text for Arrow
+        src, dst = (np.array([names[i][j] for i in found], dtype=object) for j in (0, 1))
         return pd.DataFrame({"src": src, "dst": dst, "d": least[found]})
 
     schema = T.StructType([T.StructField("src", T.StringType()), T.StructField("dst", T.StringType()), T.StructField("d", T.DoubleType())])
-    key = _pack(F.floor(F.col("cx") / 8), F.floor(F.col("cy") / 8)).alias("key")
-    return chunked_cogroup(q.select(key, "src", "dst", "id", "x", "y"), c.select(key, "src", "dst", "id", "x", "y"),
-                           "key", run, schema, "id", "id", block_rows)
+    # fresh attribute ids: both sides derive from one table
+    L, R = (x.select(*[F.col(n).alias(n) for n in x.columns]) for x in (dealt(q, "l", "r", 11), dealt(c, "r", "l", 12)))
+    return L.groupBy("key").cogroup(R.groupBy("key")).applyInPandas(run, schema)
+
+
+def _by_code(codes, n):
+    """Rows in order of their code, and where each code's rows begin and how many they are."""
+    size = np.bincount(codes, minlength=n)
+    return np.argsort(codes, kind="stable"), np.cumsum(size) - size, size
 
 
 def _d(lpdf, rpdf):
