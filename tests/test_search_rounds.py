@@ -72,6 +72,16 @@ def test_joined_slices_of_a_tile_match(spark, monkeypatch):
     assert _got(blocks.top_k(df, df, 5, exclude_self=True, broadcast_bytes=1200)) == _brute(x, x, 5, True)
 
 
+def test_blocked_recommendation_takes_one_pass(spark, vectors, written, sliced):
+    df = _frame(spark, vectors).drop("name")
+    got = {}
+    for r in sorted(R.recommend_for_all(df, df, 3, block_size=8, force_blocked=True).collect(), key=lambda r: (r["src"], r["rank"])):
+        got.setdefault(r["src"], []).append(r["dst"])
+    want = vectors @ vectors.T
+    assert got == {i: sorted(range(150), key=lambda j: (-round(want[i, j], 9), j))[:3] for i in range(150)}
+    assert len(written) == 1 and sliced == [8] * 18 + [6]        # 19 tables before
+
+
 def test_quota_blocks_are_not_cut(spark, vectors, sliced):
     df = _frame(spark, vectors).withColumn("id", F.col("id") * 7)
     R.recommend_for_all(df, df, 5, approximate=True, block_size=30, broadcast_bytes=4000).count()
