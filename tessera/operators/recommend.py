@@ -51,5 +51,6 @@ def recommend_for_all_items(users: DataFrame, items: DataFrame, num: int, **kw)
 
 def tune_partitions(factors: DataFrame, partitions: int, key: str = "id") -> DataFrame:
     """Hash-partition the query side of the search on its id.  The search maps over these rows and never
-    shuffles them, so this number of partitions is the number of its tasks."""
+    shuffles them, so this number of partitions is the number of the tasks of its first pass, which is the only one as
+    long as the candidates fit the default broadcast bound, in however many slices."""
     return factors.repartition(partitions, key)

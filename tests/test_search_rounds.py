@@ -82,6 +82,13 @@ def test_blocked_recommendation_takes_one_pass(spark, vectors, written, sliced):
     assert len(written) == 1 and sliced == [8] * 18 + [6]        # 19 tables before
 
 
+def test_tuned_partitions_are_the_tasks_of_the_search(spark, vectors, written):
+    df = R.tune_partitions(_frame(spark, vectors).drop("name"), 40)
+    out = R.recommend_for_all(df, df, 3, block_size=8, force_blocked=True)
+    assert out.rdd.getNumPartitions() == 40                      # before, files of an earlier pass packed by size
+    assert len(written) == 1 and out.count() == 450
+
+
 def test_quota_blocks_are_not_cut(spark, vectors, sliced):
     df = _frame(spark, vectors).withColumn("id", F.col("id") * 7)
     R.recommend_for_all(df, df, 5, approximate=True, block_size=30, broadcast_bytes=4000).count()
