@@ -93,3 +93,19 @@ def test_quota_blocks_are_not_cut(spark, vectors, sliced):
     df = _frame(spark, vectors).withColumn("id", F.col("id") * 7)
     R.recommend_for_all(df, df, 5, approximate=True, block_size=30, broadcast_bytes=4000).count()
     assert sorted(sliced) == [30] * 5
+
+
+@pytest.mark.parametrize("piece,default", [(1500, 1 << 26), (1500, 6000)])
+def test_the_driver_reads_a_round_in_pieces(spark, vectors, monkeypatch, piece, default):
+    seen, original = [], blocks._slices
+
+    def counted(part, *args):
+        seen.append(int(part["_bytes"].sum()))
+        return original(part, *args)
+
+    monkeypatch.setattr(blocks, "_PIECE_BYTES", piece)
+    monkeypatch.setattr(blocks, "DEFAULT_BROADCAST_BYTES", default)
+    monkeypatch.setattr(blocks, "_slices", counted)
+    df = _frame(spark, vectors).drop("name")
+    assert _got(blocks.top_k(df, df, 4, exclude_self=True, broadcast_bytes=400)) == _brute(vectors, vectors, 4, True)
+    assert len(seen) == 12 and sum(seen) == 150 * 112            # 16,800 bytes, dealt by hash
